@@ -7,6 +7,8 @@ their own, so the optimiser keeps them as columns instead of repeating them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from gavelframe.functions import codebook as cb
 from gavelframe.functions import dates
 from gavelframe.functions import text as tx
 from gavelframe.operators import registry as rg
-from gavelframe.session import spread_key
+from gavelframe.session import settle, spread_key
 
 _CASE = tx.UNICODE + cb.CASE_PATTERN
 
@@ -68,9 +70,13 @@ def decision_date(paragraphs: Column, folded: Column, registry_date: Column) ->
     return F.coalesce(dates.iso(on_page), tx.null_if_empty(registry_date))
 
 
-def language(paragraphs: Column, registry_language: Column) -> Column:
-    opening = tx.casefold(F.array_join(tx.head(paragraphs, cb.HEAD_LANGUAGE), "\n"))
-    return F.coalesce(tx.first_hit(opening, cb.LANGUAGE_MARKERS), registry_language)
+def opening(paragraphs: Column) -> Column:
+    """Folded head of the page, line breaks kept."""
+    return tx.casefold(F.array_join(tx.head(paragraphs, cb.HEAD_LANGUAGE), "\n"))
+
+
+def language(folded_opening: Column, registry_language: Column) -> Column:
+    return F.coalesce(tx.first_hit(folded_opening, cb.LANGUAGE_MARKERS), registry_language)
 
 
 def proc_type(ref: Column) -> Column:
@@ -268,6 +274,7 @@ def with_sections(judgments: DataFrame) -> DataFrame:
         {
             "_composition": _composition(paragraphs, keys, F.col("_at_composition")),
             "_subject": _subject_lines(paragraphs, folded, F.col("_at_subject")),
+            "_opening": opening(paragraphs),
             "_parties": party_block(paragraphs, keys, F.col("_at_parties")),
             "_holdings": holdings(paragraphs, folded),
             "date": decision_date(paragraphs, folded, F.col("reg_decision_date")),
@@ -297,12 +304,16 @@ def with_sections(judgments: DataFrame) -> DataFrame:
     )
 
 
-def annotate(judgments: DataFrame, model_name: str | None = None) -> DataFrame:
-    """Full annotation record of each judgment.
+def annotate(
+    judgments: DataFrame, model_name: str | None = None, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Full annotation record of each judgment, or only the columns in ``keep``.
 
     Input: ``html_id, raw_html_path, paragraphs, text`` and ``reg_*`` columns.
-    The output also keeps ``parties``, ``holdings`` and ``text_start`` for the
-    prompt, and ``error_message`` for rows whose date has no year.
+    The output also has ``parties``, ``holdings`` and ``text_start`` for the
+    prompt, and ``error_message`` for rows whose date has no year. The result
+    is settled: filters on it do not repeat the rules. Name the columns in
+    ``keep`` when few are needed, so the others are not computed.
     """
     rows = with_sections(judgments)
     text = F.col("text")
@@ -327,7 +338,7 @@ def annotate(judgments: DataFrame, model_name: str | None = None) -> DataFrame:
         "division",
         division_type(F.col("division")).alias("division_type"),
         "n_judges",
-        language(F.col("paragraphs"), F.col("reg_language")).alias("language"),
+        language(F.col("_opening"), F.col("reg_language")).alias("language"),
         F.length("text").alias("length"),
         area_general(F.col("area_detailed")).alias("area_general"),
         area_intermediate(F.col("area_detailed")).alias("area_intermediate"),
@@ -364,7 +375,7 @@ def annotate(judgments: DataFrame, model_name: str | None = None) -> DataFrame:
         "outcome": F.when(F.col("outcome").isNotNull(), tx.prefix(F.col("_all_holdings"), cb.EVIDENCE_CHARS)),
     }
     no_year = F.col("date").isNotNull() & F.col("year").isNull()
-    return rows.withColumns(
+    rows = rows.withColumns(
         {
             "evidence": evidence(proof),
             "confidence": F.create_map().cast("map<string,double>"),
@@ -373,6 +384,7 @@ def annotate(judgments: DataFrame, model_name: str | None = None) -> DataFrame:
             "error_message": F.when(no_year, F.concat(F.lit("no year in date: "), "date")),
         }
     ).drop("_all_holdings")
+    return settle(rows.select(*keep) if keep else rows)
 
 
 def _size_or_null(arr: Column) -> Column:

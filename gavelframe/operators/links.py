@@ -12,6 +12,7 @@ from gavelframe.functions import codebook as cb
 from gavelframe.functions import html as hx
 from gavelframe.functions import text as tx
 from gavelframe.functions import urls
+from gavelframe.session import settle
 
 
 def page_links(
@@ -32,13 +33,13 @@ def page_links(
         base_url.alias("_base"),
         F.posexplode(hx.anchor_markup(hx.drop_noise(F.col("html")))).alias("position", "_anchor"),
     )
-    links = links.withColumn("_href", hx.anchor_href(F.col("_anchor")))
+    links = settle(links.withColumn("_href", hx.anchor_href(F.col("_anchor"))))
     links = links.where(tx.contains_any(F.col("_href"), markers))
-    links = links.withColumn("title", hx.fragment_text(F.col("_anchor")))
+    links = settle(links.withColumn("title", hx.fragment_text(F.col("_anchor"))))
     links = links.where(~F.contains(F.lower("title"), F.lit(dropped_title)))
     links = links.withColumn("url", urls.join_url(F.col("_base"), F.col("_href")))
     docid = F.coalesce(urls.query_parameter(F.col("url"), id_parameter), F.col("url"))
-    return links.withColumn("docid", docid).drop("_base", "_anchor", "_href")
+    return settle(links.withColumn("docid", docid).drop("_base", "_anchor", "_href"))
 
 
 def first_link_wins(links: DataFrame, page_key: Sequence[str]) -> DataFrame:

@@ -62,6 +62,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Same rows, with computed columns evaluated once at this point.
+
+    The optimiser copies the expression of a column into every filter above
+    it; for columns built from long rule chains that repeats the whole chain,
+    several layers deep. Filters do not move below a generator, so a generator
+    over each row's own values ends that, without leaving the task.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def spread_key(key: Column, usable: Column, *salt: Column) -> Column:
     """Join key whose unusable values (NULL, blank) are spread over all tasks.
 
