@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelframe import schemas
@@ -89,9 +89,15 @@ def as_decisions(links: DataFrame, decision_date: Column, search_page_path: Colu
     ).select(*schemas.DECISION.fieldNames())
 
 
-def day_range(spark, start: str, end: str) -> DataFrame:
-    """Inclusive calendar of ISO days; the end may not precede the start."""
+def days_between(start: Column, end: Column) -> Column:
+    """Array of the days from start to end, both included; an end before the start is an error."""
+    ordered = F.when(end < start, F.raise_error(F.lit("end_date must be on or after start_date"))).otherwise(end)
+    return F.sequence(start, ordered.cast("date"), F.expr("interval 1 day"))
+
+
+def day_range(spark: SparkSession, start: str, end: str) -> DataFrame:
+    """Inclusive calendar of ISO days."""
     if end < start:
         raise ValueError("end_date must be on or after start_date")
-    days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))
+    days = days_between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     return spark.range(1).select(F.explode(days).alias("day"))
