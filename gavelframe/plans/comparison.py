@@ -23,10 +23,10 @@ def run(
     cp.validate_keys(predictions, "predictions")
     cp.validate_keys(truth, "ground truth")
     rows, fields = cp.judge_cells(predictions, truth)
-    rows = cut(rows, "comparison")
+    rows = cut(cp.compact(rows, fields), "comparison")
     sinks.write_comparison(
         cp.wide_rows(rows, fields),
-        cp.mismatch_rows(rows),
+        cp.mismatch_rows(rows, fields),
         cp.summary_rows(rows, fields),
         comparison_path,
         mismatches_path,

@@ -246,18 +246,19 @@ ORACLES["limit_pending"] = """
 
 
 def date_range(spark, sf_dir):
-    """Every day between each customer's first and last order."""
+    """Every day between the first and last order of each status and priority."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    spans = orders.groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b"))
-    days = lk.days_between(F.col("a"), F.col("b"))
-    return spans.select("o_custkey", F.explode(days).alias("day")).select("o_custkey", "day", dates.format_day(F.col("day")).alias("written"))
+    keys = ("o_orderstatus", "o_orderpriority")
+    spans = orders.groupBy(*keys).agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b"))
+    days = spans.select(*keys, F.explode(lk.days_between(F.col("a"), F.col("b"))).alias("day"))
+    return days.select(*keys, "day", dates.format_day(F.col("day")).alias("written"))
 
 
 QUERIES["date_range"] = date_range
 ORACLES["date_range"] = """
-  SELECT o_custkey, CAST(day AS DATE) AS day, strftime(day, '%d.%m.%Y') AS written
-  FROM (SELECT o_custkey, unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE), INTERVAL 1 DAY)) AS day
-        FROM orders GROUP BY o_custkey) AS d"""
+  SELECT o_orderstatus, o_orderpriority, CAST(day AS DATE) AS day, strftime(day, '%d.%m.%Y') AS written
+  FROM (SELECT o_orderstatus, o_orderpriority, unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE), INTERVAL 1 DAY)) AS day
+        FROM orders GROUP BY 1, 2) AS d"""
 
 _FORMS = (
     "CASE k % 5 WHEN 0 THEN yyyy || '-' || mm || '-' || dd WHEN 1 THEN dd || '.' || mm || '.' || yyyy "
