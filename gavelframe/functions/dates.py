@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from gavelframe.functions import codebook as cb
 from gavelframe.functions import text as tx
 
-_NUMERIC = tx.UNICODE + cb.NUMERIC_DATE_PATTERN
-_TEXTUAL = tx.UNICODE_NOCASE + cb.TEXT_DATE_PATTERN
+_NUMERIC = tx.at_word(r"\d", cb.NUMERIC_DATE_PATTERN)
+_TEXTUAL = tx.at_word(r"\d", cb.TEXT_DATE_PATTERN, tx.UNICODE_NOCASE)
 _MONTHS = {name: number for number, names in cb.MONTH_NAMES.items() for name in names}
 
 

@@ -17,41 +17,53 @@ UNICODE = "(?U)"
 UNICODE_NOCASE = "(?iU)"
 UNICODE_NOCASE_UNIXLINES = "(?iUd)"
 
-# (?U)\s covers NBSP and the typographic spaces but not the four separators.
-_BLANKS = r"[\s\x1c-\x1f]+"
-
-# Case folding beyond lower-casing.
-_FOLD_EXTRA = (
-    ("ß", "ss"),
-    ("ſ", "s"),
-    ("ς", "σ"),
-    ("µ", "μ"),
-    ("ﬀ", "ff"),
-    ("ﬁ", "fi"),
-    ("ﬂ", "fl"),
-    ("ﬃ", "ffi"),
-    ("ﬄ", "ffl"),
-)
+# Every character that Python splits text at, spelled out: a plain class is
+# tested much faster than a Unicode-aware \s, which also omits \x1c-\x1f.
+_NOT_SPACE = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_BLANKS = f"[ {_NOT_SPACE}]+"
+# Runs other than one plain space. Single spaces, the bulk of all runs, stay untouched.
+_UNEVEN_RUN = f"[{_NOT_SPACE}][ {_NOT_SPACE}]*| [ {_NOT_SPACE}]+"
+
+# Case folding beyond lower-casing, as far as the rules' letters are concerned.
+_LIGATURES = (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st"))
+_LIGATURE_BYTES = "EFAC"
 
 
 def squeeze(c: Column) -> Column:
     """Collapse every run of white space (NBSP included) to one space and trim."""
-    return F.trim(F.regexp_replace(c, UNICODE + _BLANKS, " "))
+    return F.trim(F.regexp_replace(c, _UNEVEN_RUN, " "))
 
 
 def strip_blanks(c: Column) -> Column:
     """Remove white space at both ends, leaving the inside alone."""
-    return F.regexp_replace(c, rf"{UNICODE}\A{_BLANKS}|{_BLANKS}\z", "")
+    return F.regexp_replace(c, rf"\A{_BLANKS}|{_BLANKS}\z", "")
+
 
+def casefold(c: Column, source: Column | None = None) -> Column:
+    """Case folding without white-space changes.
 
-def casefold(c: Column) -> Column:
-    """Case folding without white-space changes."""
-    return reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), _FOLD_EXTRA, F.lower(c))
+    One byte search tells whether any ligature is there; few texts pay for
+    them. It looks at ``source``, a plain column that ``c`` is derived from, so
+    that the derivation is not evaluated twice.
+    """
+    lowered = F.replace(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), F.lit("ſ"), F.lit("s"))
+    spelled = reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), _LIGATURES, lowered)
+    ligatures = F.contains((c if source is None else source).cast("binary"), F.unhex(F.lit(_LIGATURE_BYTES)))
+    return F.when(ligatures, spelled).otherwise(lowered)
 
 
 def fold(c: Column) -> Column:
     """White-space normalisation followed by case folding."""
-    return casefold(squeeze(c))
+    return casefold(squeeze(c), c)
+
+
+def at_word(first: str, pattern: str, flags: str = UNICODE) -> str:
+    """A pattern that begins with ``\\b`` and one of the characters in ``first``.
+
+    The look-ahead changes nothing but the cost: the costly word boundary is
+    only tested where the first character fits.
+    """
+    return f"{flags}(?=[{first}]){pattern}"
 
 
 def null_if_empty(c: Column) -> Column:
@@ -68,7 +80,10 @@ def capture_all(c: Column, pattern: str, group: int = 1) -> Column:
 
 
 def contains_any(c: Column, terms: Iterable[str]) -> Column:
-    """Substring test against a list of terms; stops at the first hit."""
+    """Substring test against a list of terms; stops at the first hit.
+
+    Plain byte searches: measured faster here than one regex alternation.
+    """
     return reduce(lambda a, b: a | b, [F.contains(c, F.lit(t)) for t in terms])
 
 

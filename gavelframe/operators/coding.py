@@ -18,7 +18,8 @@ from gavelframe.functions import text as tx
 from gavelframe.operators import registry as rg
 from gavelframe.session import settle, spread_key
 
-_CASE = tx.UNICODE + cb.CASE_PATTERN
+_CASE = tx.at_word("1-9", cb.CASE_PATTERN)
+_REPORT = tx.at_word("ABD", cb.REPORT_CITATION_PATTERN)
 
 REGISTRY_INPUTS = ("docid", "url", "decision_date", "language")
 INPUTS = ("html_id", "raw_html_path", "paragraphs", "text")
@@ -221,12 +222,12 @@ def case_citations(text: Column, ref: Column) -> Column:
 
 def report_citations(text: Column) -> Column:
     """Citations of the official reports in text order, white space still raw."""
-    return tx.capture_all(text, tx.UNICODE + cb.REPORT_CITATION_PATTERN, 1)
+    return tx.capture_all(text, _REPORT, 1)
 
 
 def leading_case(paragraphs: Column) -> Column:
-    opening = tx.join_spaced(tx.head(paragraphs, cb.HEAD_LEADING))
-    return tx.capture(opening, tx.UNICODE + cb.LEADING_CASE_PATTERN, 1)
+    head = tx.join_spaced(tx.head(paragraphs, cb.HEAD_LEADING))
+    return tx.capture(head, tx.at_word("B", cb.LEADING_CASE_PATTERN), 1)
 
 
 def area_detailed(haystack: Column) -> Column:

@@ -62,6 +62,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Spread an input over the cores if it comes in fewer pieces than that.
+
+    Text rules cost far more than moving the rows, so one large row group would
+    otherwise keep one core busy. Inputs with enough splits are left alone: no
+    shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Same rows, with computed columns evaluated once at this point.
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelframe.functions import codebook as cb
+from gavelframe.session import use_all_cores
 
 NAMES = "Lustenberger,Borella,Seiler,Escher,Herrmann,Corboz,Merkli,Wurzburger,Müller,Keller"
 MONTHS = (
@@ -360,8 +361,9 @@ def written_sql(orders: str = "orders") -> str:
 
 def written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes, lines and registry values of every judgment."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return spark.sql(WRITTEN_SQL, orders=orders)
+    columns = ("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*columns)
+    return spark.sql(WRITTEN_SQL, orders=use_all_cores(orders))
 
 
 def judgment_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from gavelframe.functions.html import ARTICLE_LAYOUT, COURT_LAYOUT
 from gavelframe.operators import extraction as ex
 from gavelframe.operators import incremental as inc
 from gavelframe.operators import links as lk
+from gavelframe.session import use_all_cores
 from gavelframe.sources import pages as pg
 from gavelframe.sources import paths
 from workloads.coding_queries import widen
@@ -41,7 +42,7 @@ def fragment_sql(markup: str) -> str:
 
 def pages(spark, sf_dir):
     """The pages table with the path each page would have on disk."""
-    table = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    table = use_all_cores(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return table.withColumn("raw_html_path", paths.digest_path(RAW, F.lit(""), F.col("url")))
 
 
@@ -189,7 +190,7 @@ ORACLES["extract_record"] = f"""
 
 def court_pages(spark, sf_dir):
     """Documents as court pages: one block per line, escaped; a third of the languages has no container."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = use_all_cores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     escaped = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     blocks = F.replace(escaped, F.lit("\n"), F.lit('&nbsp;</div>\n<div class="para">'))
     body = F.concat(F.lit('<div class="box" id="highlight_content"><div>menu</div>\n<div class="content"><div class="para">'), blocks, F.lit("</div></div></div>"))
@@ -243,7 +244,7 @@ _QUERY = "?type=show_document&amp;highlight_docid=aza%3A%2F%2F"
 
 def search_pages(spark, sf_dir):
     """The pages with their links turned into decision links."""
-    table = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    table = use_all_cores(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return table.withColumn("html", F.replace("html", F.lit('href="/'), F.lit(f'href="{_QUERY}')))
 
 

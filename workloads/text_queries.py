@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gavelframe.functions import codebook as cb
 from gavelframe.functions import text as tx
 from gavelframe.operators import coding
+from gavelframe.session import use_all_cores
 from workloads.coding_queries import widen
 from workloads.judgments import q
 from workloads.page_queries import squeeze_sql
@@ -16,7 +17,7 @@ ORACLES = {}
 
 
 def documents(spark, sf_dir):
-    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    table = use_all_cores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return table.withColumn("paragraphs", F.split("text", "\n"))
 
 
