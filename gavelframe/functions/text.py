@@ -17,12 +17,11 @@ UNICODE = "(?U)"
 UNICODE_NOCASE = "(?iU)"
 UNICODE_NOCASE_UNIXLINES = "(?iUd)"
 
-# Every character that Python splits text at, spelled out: a plain class is
-# tested much faster than a Unicode-aware \s, which also omits \x1c-\x1f.
-_NOT_SPACE = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_BLANKS = f"[ {_NOT_SPACE}]+"
-# Runs other than one plain space. Single spaces, the bulk of all runs, stay untouched.
-_UNEVEN_RUN = f"[{_NOT_SPACE}][ {_NOT_SPACE}]*| [ {_NOT_SPACE}]+"
+# Every character that Python splits text at; (?U)\s omits \x1c-\x1f.
+_BLANKS = r"(?U)[\s\x1c-\x1f]+"
+# The same without the plain space, as a class that is quick to search for.
+_ODD_BLANK = r"[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_BLANK_CHARACTERS = "".join(chr(n) for n in range(0x3001) if chr(n).isspace())
 
 # Case folding beyond lower-casing, as far as the rules' letters are concerned.
 _LIGATURES = (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st"))
@@ -30,13 +29,18 @@ _LIGATURE_BYTES = "EFAC"
 
 
 def squeeze(c: Column) -> Column:
-    """Collapse every run of white space (NBSP included) to one space and trim."""
-    return F.trim(F.regexp_replace(c, _UNEVEN_RUN, " "))
+    """Collapse every run of white space (NBSP included) to one space and trim.
+
+    Text that is even already, the usual case after extraction, is recognised
+    by two searches and not rebuilt.
+    """
+    uneven = F.contains(c, F.lit("  ")) | c.rlike(_ODD_BLANK)
+    return F.trim(F.when(uneven, F.regexp_replace(c, _BLANKS, " ")).otherwise(c))
 
 
 def strip_blanks(c: Column) -> Column:
     """Remove white space at both ends, leaving the inside alone."""
-    return F.regexp_replace(c, rf"\A{_BLANKS}|{_BLANKS}\z", "")
+    return F.btrim(c, F.lit(_BLANK_CHARACTERS))
 
 
 def casefold(c: Column, source: Column | None = None) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from gavelframe.functions import cells
 from gavelframe.functions import codebook as cb
 from gavelframe.operators import comparison as cp
-from gavelframe.session import cut
+from gavelframe.session import cut, use_all_cores
 from workloads.coding_queries import coded, widen
 from workloads.judgments import expected_sql, q, written
 
@@ -37,8 +37,9 @@ _TRUTH = """
 
 
 def predictions(spark, sf_dir):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return spark.sql(_PREDICTED, orders=orders)
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*columns)
+    return spark.sql(_PREDICTED, orders=use_all_cores(orders))
 
 
 def truth(spark, sf_dir):
@@ -259,7 +260,7 @@ ORACLES["values_equal"] = """
 
 def scale_summary(spark, sf_dir):
     """Every line item against a copy with a changed tax and tightened discount."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumns(
+    lines = use_all_cores(spark.read.parquet(f"{sf_dir}/lineitem.parquet")).withColumns(
         {"docref": F.col("l_orderkey").cast("string"), "date": F.concat_ws("/", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("string"))}
     )
     copy = lines.where("l_shipdate < timestamp'2001-06-01'").withColumns(
