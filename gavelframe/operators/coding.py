@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gavelframe import schemas
 from gavelframe.functions import codebook as cb
 from gavelframe.functions import dates
 from gavelframe.functions import text as tx
@@ -23,13 +24,14 @@ _REPORT = tx.at_word("ABD", cb.REPORT_CITATION_PATTERN)
 
 REGISTRY_INPUTS = ("docid", "url", "decision_date", "language")
 INPUTS = ("html_id", "raw_html_path", "paragraphs", "text")
+CONTEXT = ("parties", "holdings", "text_start")
 
 
 # --- registry enrichment ---------------------------------------------------
 
 
 def enrich(extracted: DataFrame, log: DataFrame) -> DataFrame:
-    """Extracted judgments with the registry columns of their page, as ``reg_*``.
+    """Judgments (extracted, or coded already) with the registry columns of their page, as ``reg_*``.
 
     The registry side has one row per path after its aggregate, so a page can
     not multiply. Judgments without a path cannot match; their keys are spread
@@ -55,20 +57,19 @@ def docref_from_docid(docid: Column) -> Column:
     return F.concat(number, F.lit("/"), tx.capture(docid, tx.UNICODE + cb.DOCID_PATTERN, 2))
 
 
-def docref(paragraphs: Column, docid: Column) -> Column:
+def page_docref(paragraphs: Column) -> Column:
     on_page = tx.first_match(tx.head(paragraphs, cb.HEAD_DOCREF), _CASE)
-    return F.coalesce(docref_from_docid(docid), F.replace(on_page, F.lit("."), F.lit("_")))
+    return F.replace(on_page, F.lit("."), F.lit("_"))
 
 
-def decision_date(paragraphs: Column, folded: Column, registry_date: Column) -> Column:
-    """Date beside a decision heading among the first paragraphs, else the registry's."""
+def page_date(paragraphs: Column, folded: Column) -> Column:
+    """Date beside a decision heading among the first paragraphs."""
     found = F.zip_with(
         tx.head(paragraphs, cb.HEAD_DATE),
         tx.head(folded, cb.HEAD_DATE),
         lambda p, f: F.when(tx.contains_any(f, cb.DECISION_DATE_MARKERS), dates.parse_date_text(p)),
     )
-    on_page = F.get(F.filter(found, lambda d: d.isNotNull()), 0)
-    return F.coalesce(dates.iso(on_page), tx.null_if_empty(registry_date))
+    return dates.iso(F.get(F.filter(found, lambda d: d.isNotNull()), 0))
 
 
 def opening(paragraphs: Column) -> Column:
@@ -76,8 +77,8 @@ def opening(paragraphs: Column) -> Column:
     return tx.casefold(F.array_join(tx.head(paragraphs, cb.HEAD_LANGUAGE), "\n"))
 
 
-def language(folded_opening: Column, registry_language: Column) -> Column:
-    return F.coalesce(tx.first_hit(folded_opening, cb.LANGUAGE_MARKERS), registry_language)
+def page_language(folded_opening: Column) -> Column:
+    return tx.first_hit(folded_opening, cb.LANGUAGE_MARKERS)
 
 
 def proc_type(ref: Column) -> Column:
@@ -163,11 +164,15 @@ def source_canton(folded_issue: Column) -> Column:
     return tx.first_hit(folded_issue, rules)
 
 
-def merged_cases(paragraphs: Column, ref: Column) -> Column:
-    """Does the head of the page name a docket other than its own?"""
+def head_cases(paragraphs: Column) -> Column:
+    """Dockets named in the head of the page, in one spelling."""
     found = tx.capture_all(tx.join_spaced(tx.head(paragraphs, cb.HEAD_MERGED)), _CASE, 1)
-    own = F.replace(F.coalesce(ref, F.lit("")), F.lit("."), F.lit("_"))
-    return F.exists(found, lambda f: F.replace(f, F.lit("."), F.lit("_")) != own)
+    return F.transform(found, lambda f: F.replace(f, F.lit("."), F.lit("_")))
+
+
+def merged_cases(in_head: Column, ref: Column) -> Column:
+    """Does the head of the page name a docket other than its own?"""
+    return F.size(F.array_except(in_head, F.array(F.coalesce(ref, F.lit(""))))) > 0
 
 
 def party_block(paragraphs: Column, keys: Column, position: Column) -> Column:
@@ -212,11 +217,19 @@ def outcome_flag(label: Column) -> Column:
     return F.when(label.isin(*cb.OUTCOMES_TRUE), True).when(label.isin(*cb.OUTCOMES_FALSE), False)
 
 
-def case_citations(text: Column, ref: Column) -> Column:
-    """Dockets in text order, repeats kept; the own one in front unless the text has it."""
-    found = tx.capture_all(text, _CASE, 1)
-    dotted = F.replace(ref, F.lit("_"), F.lit("."))
-    absent = (ref != "") & ~F.array_contains(found, ref) & ~F.contains(text, dotted)
+def cases_in_text(text: Column) -> Column:
+    """Dockets in text order, repeats kept."""
+    return tx.capture_all(text, _CASE, 1)
+
+
+def dotted_in_text(text: Column) -> Column:
+    """Every dotted docket that occurs as a plain substring, also inside longer words."""
+    return F.array_distinct(tx.capture_all(text, r"(?=[1-9][A-Z]\.)(?=([1-9][A-Z]\.\d+/\d{4}))", 1))
+
+
+def case_citations(found: Column, dotted: Column, ref: Column) -> Column:
+    """Dockets of the text; the own one in front unless the text has it in either spelling."""
+    absent = (ref != "") & ~F.array_contains(found, ref) & ~F.array_contains(dotted, F.replace(ref, F.lit("_"), F.lit(".")))
     return F.when(absent, F.concat(F.array(ref), found)).otherwise(found)
 
 
@@ -278,8 +291,8 @@ def with_sections(judgments: DataFrame) -> DataFrame:
             "_opening": opening(paragraphs),
             "_parties": party_block(paragraphs, keys, F.col("_at_parties")),
             "_holdings": holdings(paragraphs, folded),
-            "date": decision_date(paragraphs, folded, F.col("reg_decision_date")),
-            "docref": docref(paragraphs, F.col("reg_docid")),
+            "_page_date": page_date(paragraphs, folded),
+            "_page_docref": page_docref(paragraphs),
         }
     )
     base = base.withColumns(
@@ -305,87 +318,119 @@ def with_sections(judgments: DataFrame) -> DataFrame:
     )
 
 
-def annotate(
-    judgments: DataFrame, model_name: str | None = None, keep: Sequence[str] | None = None
-) -> DataFrame:
-    """Full annotation record of each judgment, or only the columns in ``keep``.
+def code_page(judgments: DataFrame) -> DataFrame:
+    """Everything that the page alone decides, without its full text.
 
-    Input: ``html_id, raw_html_path, paragraphs, text`` and ``reg_*`` columns.
-    The output also has ``parties``, ``holdings`` and ``text_start`` for the
-    prompt, and ``error_message`` for rows whose date has no year. The result
-    is settled: filters on it do not repeat the rules. Name the columns in
-    ``keep`` when few are needed, so the others are not computed.
+    Registry columns, if already there, are carried along. Rows are small from
+    here on: the text itself never has to move for a join.
     """
     rows = with_sections(judgments)
     text = F.col("text")
-    rows = rows.withColumns(
-        {
-            "division": division(F.col("docref"), F.col("date")),
-            "n_judges": _size_or_null(F.col("judge_names")),
-            "source_date": source_date(F.col("issue")),
-            "outcome": outcome(F.col("_folded_holdings")),
-            "area_detailed": area_detailed(F.col("_haystack")),
-            "_cases": case_citations(text, F.col("docref")),
-            "_reports": report_citations(text),
-        }
-    )
-    rows = rows.select(
-        "docref",
-        F.col("reg_url").alias("url"),
-        "date",
-        dates.year_of(F.col("date")).alias("year"),
-        proc_type(F.col("docref")).alias("proc_type"),
-        merged_cases(F.col("paragraphs"), F.col("docref")).alias("merged_cases"),
-        "division",
-        division_type(F.col("division")).alias("division_type"),
-        "n_judges",
-        language(F.col("_opening"), F.col("reg_language")).alias("language"),
+    rows = rows.withColumns({"_cases": cases_in_text(text), "_reports": report_citations(text)})
+    carried = [f"reg_{c}" for c in REGISTRY_INPUTS if f"reg_{c}" in judgments.columns]
+    return rows.select(
+        "html_id",
+        "raw_html_path",
+        *carried,
+        "_page_docref",
+        "_page_date",
+        page_language(F.col("_opening")).alias("_page_language"),
+        head_cases(F.col("paragraphs")).alias("_head_cases"),
+        "judge_names",
         F.length("text").alias("length"),
-        area_general(F.col("area_detailed")).alias("area_general"),
-        area_intermediate(F.col("area_detailed")).alias("area_intermediate"),
-        "area_detailed",
+        area_detailed(F.col("_haystack")).alias("area_detailed"),
         "topic",
         "issue",
-        "source_date",
+        source_date(F.col("issue")).alias("source_date"),
         source_canton(F.col("_folded_issue")).alias("source_canton"),
-        dates.days_between(F.col("date"), F.col("source_date")).alias("proc_duration"),
         party_class(F.col("_appellant")).alias("app_class"),
         represented(F.col("_appellant")).alias("app_represented"),
         party_class(F.col("_respondent")).alias("resp_class"),
         represented(F.col("_respondent")).alias("resp_represented"),
-        "outcome",
-        outcome_flag(F.col("outcome")).alias("outcome_binary"),
-        tx.null_if_empty(F.array_join("_cases", ";")).alias("cited_bger"),
-        F.size("_cases").alias("n_cited_bger"),
+        outcome(F.col("_folded_holdings")).alias("outcome"),
+        "_cases",
+        dotted_in_text(text).alias("_dotted"),
         tx.null_if_empty(tx.squeeze(F.array_join("_reports", ";"))).alias("cited_bge"),
         F.size("_reports").alias("n_cited_bge"),
         leading_case(F.col("paragraphs")).alias("leading_case"),
-        F.lit(cb.DOI_VERSION).alias("doi_version"),
-        F.coalesce("html_id", F.lit("")).alias("html_id"),
-        F.coalesce("raw_html_path", F.lit("")).alias("raw_html_path"),
-        F.lit(cb.ANNOTATION_VERSION).alias("annotation_version"),
-        F.lit(model_name).cast("string").alias("model_name"),
-        "judge_names",
         F.col("_parties").alias("parties"),
-        F.col("_holdings").alias("_all_holdings"),
+        tx.prefix(F.col("_holdings"), cb.CONTEXT_HOLDINGS_CHARS).alias("holdings"),
         tx.prefix(text, cb.CONTEXT_TEXT_CHARS).alias("text_start"),
     )
+
+
+def finish(pages: DataFrame, model_name: str | None = None, keep: Sequence[str] | None = None) -> DataFrame:
+    """Annotation records from coded pages and their ``reg_*`` columns; settled."""
+    rows = pages.withColumns(
+        {
+            "docref": F.coalesce(docref_from_docid(F.col("reg_docid")), F.col("_page_docref")),
+            "date": F.coalesce(F.col("_page_date"), tx.null_if_empty(F.col("reg_decision_date"))),
+            "n_judges": _size_or_null(F.col("judge_names")),
+        }
+    )
+    ref, date = F.col("docref"), F.col("date")
+    rows = rows.withColumns(
+        {
+            "url": F.col("reg_url"),
+            "year": dates.year_of(date),
+            "proc_type": proc_type(ref),
+            "merged_cases": merged_cases(F.col("_head_cases"), ref),
+            "division": division(ref, date),
+            "language": F.coalesce("_page_language", "reg_language"),
+            "area_general": area_general(F.col("area_detailed")),
+            "area_intermediate": area_intermediate(F.col("area_detailed")),
+            "proc_duration": dates.days_between(date, F.col("source_date")),
+            "outcome_binary": outcome_flag(F.col("outcome")),
+            "_cited": case_citations(F.col("_cases"), F.col("_dotted"), ref),
+            "doi_version": F.lit(cb.DOI_VERSION),
+            "html_id": F.coalesce("html_id", F.lit("")),
+            "raw_html_path": F.coalesce("raw_html_path", F.lit("")),
+            "annotation_version": F.lit(cb.ANNOTATION_VERSION),
+            "model_name": F.lit(model_name).cast("string"),
+            "confidence": F.create_map().cast("map<string,double>"),
+            "warnings": missing_warnings(),
+        }
+    )
     proof = {
         "issue": F.col("issue"),
         "parties": F.col("parties"),
-        "outcome": F.when(F.col("outcome").isNotNull(), tx.prefix(F.col("_all_holdings"), cb.EVIDENCE_CHARS)),
+        "outcome": F.when(F.col("outcome").isNotNull(), tx.prefix(F.col("holdings"), cb.EVIDENCE_CHARS)),
     }
-    no_year = F.col("date").isNotNull() & F.col("year").isNull()
+    no_year = date.isNotNull() & F.col("year").isNull()
     rows = rows.withColumns(
         {
+            "division_type": division_type(F.col("division")),
+            "cited_bger": tx.null_if_empty(F.array_join("_cited", ";")),
+            "n_cited_bger": F.size("_cited"),
             "evidence": evidence(proof),
-            "confidence": F.create_map().cast("map<string,double>"),
-            "warnings": missing_warnings(),
-            "holdings": tx.prefix(F.col("_all_holdings"), cb.CONTEXT_HOLDINGS_CHARS),
-            "error_message": F.when(no_year, F.concat(F.lit("no year in date: "), "date")),
+            "error_message": F.when(no_year, F.concat(F.lit("no year in date: "), date)),
         }
-    ).drop("_all_holdings")
-    return settle(rows.select(*keep) if keep else rows)
+    )
+    return settle(rows.select(*(keep or (*schemas.ANNOTATION.fieldNames(), *CONTEXT, "error_message"))))
+
+
+def annotate(
+    judgments: DataFrame, model_name: str | None = None, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Full annotation record of each judgment, or only the columns in ``keep``.
+
+    Input: ``html_id, raw_html_path, paragraphs, text`` and ``reg_*`` columns.
+    The output also has ``parties``, ``holdings`` and ``text_start`` for the
+    prompt, and ``error_message`` for rows whose date has no year. The result
+    is settled: filters on it do not repeat the rules. Name the columns in
+    ``keep`` when few are needed, so the others are not computed.
+    """
+    return finish(code_page(judgments), model_name, keep)
+
+
+def annotate_with_log(
+    extracted: DataFrame, log: DataFrame, model_name: str | None = None, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Annotation records of extracted judgments, with the registry log joined in.
+
+    Pages are coded first, so the join moves the coded columns, not the texts.
+    """
+    return finish(enrich(code_page(extracted), log), model_name, keep)
 
 
 def _size_or_null(arr: Column) -> Column:

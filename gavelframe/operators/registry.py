@@ -107,8 +107,9 @@ def download_plan(
 
     by_docid = state.select(F.col("record_key").alias("_docid_key"), F.col("_state").alias("_by_docid"))
     by_url = state.select(F.col("record_key").alias("_url_key"), F.col("_state").alias("_by_url"))
-    docid = spread_key(F.col("docid"), F.col("docid") != "", F.col("url"))
-    looked_up = wanted.withColumn("_docid", docid).join(by_docid, F.col("_docid") == F.col("_docid_key"), "left")
+    # One row per docid on both sides: no key is heavy, and the aggregates'
+    # partitioning serves the join.
+    looked_up = wanted.join(by_docid, F.col("docid") == F.col("_docid_key"), "left")
     # Only decisions still unknown need the second lookup.
     unknown = F.col("_by_docid").isNull() & (F.col("url") != "")
     looked_up = looked_up.withColumn("_url", spread_key(F.col("url"), unknown, F.col("docid")))

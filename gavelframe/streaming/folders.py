@@ -74,7 +74,7 @@ def annotate_stream(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = coding.stamp(coding.annotate(coding.enrich(batch, log)))
+        rows = coding.stamp(coding.annotate_with_log(batch, log))
         rows.where("error_message is null").select(*schemas.ANNOTATION.fieldNames()).write.mode("overwrite").parquet(
             f"{annotation_folder}/batch={batch_id}"
         )

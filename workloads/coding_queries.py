@@ -139,6 +139,19 @@ ORACLES["enrich_registry"] = (
 )
 
 
+def annotate_from_log(spark, sf_dir):
+    """The whole way: pages coded, registry log reduced and joined, records finished."""
+    extracted = judgment_view(spark, sf_dir).select(*coding.INPUTS)
+    keep = ("html_id", "docref", "url", "date", "division", "proc_duration", "merged_cases", "cited_bger", "language")
+    return widen(coding.annotate_with_log(extracted, registry_log(spark, sf_dir), keep=keep))
+
+
+QUERIES["annotate_from_log"] = annotate_from_log
+ORACLES["annotate_from_log"] = expected_sql(
+    "docref", "url", "date", "division", "proc_duration", "merged_cases", "cited_bger", "language"
+)
+
+
 # --- arrays and dates on the same judgments --------------------------------
 
 
