@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gavelframe.llm.common import table
 from gavelframe.llm.exact_dedup import exact_dedup
+from gavelframe.llm.mixing import mix
 
 # DuckDB: text with only A-Z lower-cased.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -23,5 +24,37 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM d JOIN g ON d.t = g.t
 """
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup}
-ORACLES = {"op3_exact_dedup": OP3_SQL}
+
+def op8_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         (('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT + 0.5) / 4503599627370496.0::DOUBLE AS u
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source),
+w AS (SELECT *, ((k - 1) % 3 + 1)::DOUBLE AS weight, 3.0::DOUBLE * source_size AS most, sum(source_size) OVER () AS total FROM s),
+c AS (
+  SELECT *, most <= (total - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) * weight AS capped
+  FROM w WINDOW o AS (ORDER BY most / weight, source NULLS LAST)),
+t AS (
+  SELECT *, CASE WHEN capped THEN most ELSE (total - sum(CASE WHEN capped THEN most ELSE 0 END) OVER ())
+    / sum(CASE WHEN capped THEN 0 ELSE weight END) OVER () * weight END AS target
+  FROM c),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3)::BIGINT ELSE 0 END AS whole FROM t),
+q AS (SELECT *, CASE WHEN whole >= 3 THEN 0 ELSE greatest(round(target)::BIGINT - whole * source_size, 0) END AS rest FROM r),
+j AS (
+  SELECT d.doc_id, d.size, q.*, u / (1 - u) * ((1 - p) / p) AS odds
+  FROM (SELECT *, least(greatest(rest / source_size, 1e-9), 1 - 1e-9) AS p FROM q) q JOIN d ON d.source IS NOT DISTINCT FROM q.source),
+f AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY odds) - size AS start FROM j)
+SELECT doc_id, size, source_size, target,
+       (whole * size + greatest(0, least(size, rest - start)))::BIGINT AS taken,
+       (whole + CASE WHEN start + size < rest THEN 1 ELSE 0 END)::BIGINT AS copies
+FROM f
+"""
+
+QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op8_pareto_mixing": op8_pareto_mixing}
+ORACLES = {"op3_exact_dedup": OP3_SQL, "op8_pareto_mixing": OP8_SQL}
