@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gavelframe.llm.common import table
 from gavelframe.llm.exact_dedup import exact_dedup
+from gavelframe.llm import licences
 from gavelframe.llm.mixing import mix
 
 # DuckDB: text with only A-Z lower-cased.
@@ -25,6 +26,10 @@ FROM d JOIN g ON d.t = g.t
 """
 
 
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op8_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -56,5 +61,13 @@ SELECT doc_id, size, source_size, target,
 FROM f
 """
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op8_pareto_mixing": op8_pareto_mixing}
-ORACLES = {"op3_exact_dedup": OP3_SQL, "op8_pareto_mixing": OP8_SQL}
+QUERIES = {
+    "op3_exact_dedup": op3_exact_dedup,
+    "op4_licence_scan": op4_licence_scan,
+    "op8_pareto_mixing": op8_pareto_mixing,
+}
+ORACLES = {
+    "op3_exact_dedup": OP3_SQL,
+    "op4_licence_scan": licences.oracle(lower=_LOWER),
+    "op8_pareto_mixing": OP8_SQL,
+}
