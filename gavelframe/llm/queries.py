@@ -8,6 +8,7 @@ from gavelframe.llm.common import table
 from gavelframe.llm.exact_dedup import exact_dedup
 from gavelframe.llm import licences
 from gavelframe.llm.mixing import mix
+from gavelframe.llm.packing import pack
 
 # DuckDB: text with only A-Z lower-cased.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -30,6 +31,17 @@ def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
 
 
+def word_tokenizer() -> str:
+    """Vocabulary file of the packing query, as the machines' tokenizer folder names it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 def op8_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -64,6 +76,7 @@ FROM f
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_licence_scan": op4_licence_scan,
+    "op6_concat_packing": op6_concat_packing,
     "op8_pareto_mixing": op8_pareto_mixing,
 }
 ORACLES = {
