@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gavelframe.llm import licences
 from gavelframe.llm.common import table
 from gavelframe.llm.exact_dedup import exact_dedup
-from gavelframe.llm import licences
+from gavelframe.llm.line_dedup import remove_spread_lines
 from gavelframe.llm.mixing import mix
 from gavelframe.llm.packing import pack
 
@@ -73,14 +75,38 @@ SELECT doc_id, size, source_size, target,
 FROM f
 """
 
+def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_spread_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "row.doc_id", "n_lines", "n_removed", F.length("clean_text").cast("long").alias("clean_chars"),
+        F.sha2("clean_text", 256).alias("clean_sha256"),
+    )
+
+
+OP10_SQL = """
+WITH d AS (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (
+  SELECT doc_id, coalesce('=' || source, 'NULL') AS site, unnest(lines) AS line, generate_subscripts(lines, 1) AS k FROM d),
+t AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS body FROM l),
+s AS (SELECT body FROM t WHERE body <> '' GROUP BY body HAVING count(DISTINCT site) >= 10),
+m AS (SELECT t.*, s.body IS NOT NULL AS gone FROM t LEFT JOIN s ON t.body = s.body),
+c AS (
+  SELECT doc_id, count(*) FILTER (body <> '') AS n_lines, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '') AS clean_text
+  FROM m GROUP BY doc_id)
+SELECT doc_id, n_lines, n_removed, length(clean_text) AS clean_chars, sha256(clean_text) AS clean_sha256 FROM c
+"""
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_licence_scan": op4_licence_scan,
     "op6_concat_packing": op6_concat_packing,
     "op8_pareto_mixing": op8_pareto_mixing,
+    "op10_line_spread": op10_line_spread,
 }
 ORACLES = {
     "op3_exact_dedup": OP3_SQL,
     "op4_licence_scan": licences.oracle(lower=_LOWER),
     "op8_pareto_mixing": OP8_SQL,
+    "op10_line_spread": OP10_SQL,
 }
