@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelframe.llm import licences
+from gavelframe.llm.chunking import repeated_runs
 from gavelframe.llm.common import table
 from gavelframe.llm.exact_dedup import exact_dedup
 from gavelframe.llm.line_dedup import remove_spread_lines
@@ -75,6 +76,10 @@ SELECT doc_id, size, source_size, target,
 FROM f
 """
 
+def op9_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_runs(table(spark, sf_dir, "documents"))
+
+
 def op10_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = remove_spread_lines(table(spark, sf_dir, "documents"))
     return cleaned.select(
@@ -102,6 +107,7 @@ QUERIES = {
     "op4_licence_scan": op4_licence_scan,
     "op6_concat_packing": op6_concat_packing,
     "op8_pareto_mixing": op8_pareto_mixing,
+    "op9_chunk_dedup": op9_chunk_dedup,
     "op10_line_spread": op10_line_spread,
 }
 ORACLES = {
