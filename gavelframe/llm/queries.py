@@ -12,6 +12,7 @@ from gavelframe.llm.exact_dedup import exact_dedup
 from gavelframe.llm.line_dedup import remove_spread_lines
 from gavelframe.llm.mixing import mix
 from gavelframe.llm.packing import pack
+from gavelframe.llm.vptree import nearest
 
 # DuckDB: text with only A-Z lower-cased.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -34,6 +35,10 @@ def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(table(spark, sf_dir, "documents"))
 
 
+def op5_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def word_tokenizer() -> str:
     """Vocabulary file of the packing query, as the machines' tokenizer folder names it."""
     import public_tokenizers
@@ -105,6 +110,7 @@ SELECT doc_id, n_lines, n_removed, length(clean_text) AS clean_chars, sha256(cle
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_licence_scan": op4_licence_scan,
+    "op5_vantage_trees": op5_vantage_trees,
     "op6_concat_packing": op6_concat_packing,
     "op8_pareto_mixing": op8_pareto_mixing,
     "op9_chunk_dedup": op9_chunk_dedup,
