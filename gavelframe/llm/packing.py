@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,35 +29,37 @@ from pyspark.sql import functions as F
 from gavelframe.llm.tokens import encoder
 from gavelframe.session import cut
 
-_ROWS_AT_ONCE = 500
+_ROWS_AT_ONCE = 2000
 _PIECES_AT_ONCE = 50_000
 
 
 def _encoded(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit), doc_tokens, part, local_start."""
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start, words = TaskContext.get().partitionId(), 0, encoder(tokenizer)
-        end = np.array([end_id], np.uint32)
         for batch in batches:
             for k in range(0, len(batch), _ROWS_AT_ONCE):
-                rows = batch.iloc[k : k + _ROWS_AT_ONCE]
-                ids = [np.concatenate([x, end]) for x in words.encode(rows["text"].fillna("").tolist())]
-                sizes = np.array([len(x) for x in ids], np.int64)
-                yield pd.DataFrame(
-                    {
-                        "id": rows["id"],
-                        "ids": [x.astype("<u4").tobytes() for x in ids],
-                        "doc_tokens": sizes,
-                        "part": part,
-                        "local_start": start + np.cumsum(sizes) - sizes,
-                    }
+                rows = batch.slice(k, _ROWS_AT_ONCE)
+                ids, sizes = words.encode(rows.column("text"), end_id)
+                bounds = np.concatenate([[0], np.cumsum(sizes)])
+                buffers = [None, pa.py_buffer((4 * bounds).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column("id"),
+                        pa.Array.from_buffers(pa.binary(), len(rows), buffers),
+                        pa.array(sizes),
+                        pa.array(np.full(len(rows), part, np.int32)),
+                        pa.array(start + bounds[:-1]),
+                    ],
+                    names=["id", "ids", "doc_tokens", "part", "local_start"],
                 )
-                start += int(sizes.sum())
+                start += int(bounds[-1])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(encode, f"id {kind}, ids binary, doc_tokens long, part int, local_start long")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    return rows.mapInArrow(encode, f"id {kind}, ids binary, doc_tokens long, part int, local_start long")
 
 
 def _pieces(window: int, kind: str):

@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Iterable
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_KNOWN_WORDS = 400_000
-_CHUNK = 20_000
-_SPACE = re.compile(r"[\x20\x09-\x0D]+")
+_KNOWN_WORDS = 600_000
+_WORDS_AT_ONCE = 200
+_WORD_END = "</w>"
+_STOPS = ".,;:!?()|%$&*#"  # not letters, digits or apostrophes: one piece behind a word
 
 
 class WordEncoder:
     """Ids of whole texts, as the tokenizer gives them, from the ids of their words.
 
-    Only for tokenizers that drop white space and never join across it: then
-    the ids of a text are those of its words in turn. The memory for words is
-    bounded: it starts anew when it is full.
+    Only for tokenizers that drop white space, never join across it, and mark
+    the last token of a word: then the ids of a text are those of its words in
+    turn. Words of letters, also with a stop behind, are encoded many at a time
+    and told apart by the mark; if the marks do not add up, one by one. Memory is bounded: beyond
+    `_KNOWN_WORDS`, new words are forgotten after the texts that held them.
     """
 
     def __init__(self, path: str) -> None:
@@ -28,50 +31,74 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._forget()
-
-    def _forget(self) -> None:
+        vocabulary = self._tokenizer.get_vocab()
+        self._last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._last[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
         self._known: dict[str, int] = {}
-        self._ids = [np.empty(0, np.uint32)]
-        self._flat: np.ndarray | None = None
-
-    def _learn(self, words: Iterable[str]) -> None:
-        new = list(words)
-        for start in range(0, len(new), _CHUNK):
-            part = new[start : start + _CHUNK]
-            for word, encoding in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self._known[word] = len(self._ids)
-                self._ids.append(np.array(encoding.ids, np.uint32))
-        self._flat = None
-
-    def _table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if self._flat is None:
-            sizes = np.array([len(x) for x in self._ids], np.int64)
-            self._flat, self._sizes, self._starts = np.concatenate(self._ids), sizes, np.cumsum(sizes) - sizes
-        return self._flat, self._sizes, self._starts
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [_words(text) for text in texts]
-        new = {word for words in split for word in words}.difference(self._known)
-        if len(self._known) + len(new) > _KNOWN_WORDS:
-            self._forget()
-            new = {word for words in split for word in words}
+        self._ids, self._sizes = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def _encode_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.array([len(x) for x in found], np.int64)
+        return np.array([i for ids in found for i in ids], np.uint32), sizes
+
+    def _encode_joined(self, words: list[str], pieces: int) -> tuple[np.ndarray, np.ndarray]:
+        """For words that the tokenizer divides into `pieces` marked pieces each."""
+        parts = [words[k : k + _WORDS_AT_ONCE] for k in range(0, len(words), _WORDS_AT_ONCE)]
+        out = []
+        encoded = self._tokenizer.encode_batch_fast([" ".join(part) for part in parts], add_special_tokens=False)
+        for part, encoding in zip(parts, encoded, strict=True):
+            ids = np.array(encoding.ids, np.uint32)
+            ends = np.flatnonzero(self._last[ids]) + 1
+            sound = len(ends) == pieces * len(part) and ends[-1] == len(ids)
+            out.append((ids, np.diff(ends[pieces - 1 :: pieces], prepend=0)) if sound else self._encode_each(part))
+        return np.concatenate([x for x, _ in out]), np.concatenate([n for _, n in out])
+
+    def _learn(self, words: list[str]) -> None:
+        plain, stopped, other = [], [], []
+        for word in words:
+            if word.isalpha():
+                plain.append(word)
+            elif word.rstrip(_STOPS).isalpha():
+                stopped.append(word)
+            else:
+                other.append(word)
+        ids, sizes, n_known = [self._ids], [self._sizes], len(self._sizes)
+        for group, pieces in ((plain, 1), (stopped, 2), (other, 0)):
+            if group:
+                found = self._encode_joined(group, pieces) if pieces else self._encode_each(group)
+                self._known.update(zip(group, range(n_known, n_known + len(group)), strict=True))
+                ids.append(found[0])
+                sizes.append(found[1])
+                n_known += len(group)
+        self._ids, self._sizes = np.concatenate(ids), np.concatenate(sizes)
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, each text closed by `end_id`, and their numbers."""
+        split = pc.ascii_split_whitespace(texts)
+        offsets = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        offsets -= offsets[0]
+        distinct = coded.dictionary.to_pylist()
+        before, n_ids = len(self._sizes), len(self._ids)
+        new = [w for w in distinct if w not in self._known]
         if new:
             self._learn(new)
-        flat, sizes, starts = self._table()
-        known, out = self._known, []
-        for words in split:
-            codes = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            n = sizes[codes]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(flat[np.arange(total) + np.repeat(starts[codes] - (ends - n), n)])
-        return out
-
-
-def _words(text: str) -> list[str]:
-    """Pieces between ASCII white space; the tokenizer may find more white space inside them."""
-    return _SPACE.split(text)
+        word = np.fromiter(map(self._known.__getitem__, distinct), np.int64, len(distinct))
+        # The end is a word of one id, after the known ones.
+        flat = np.append(self._ids, np.uint32(end_id))
+        sizes = np.append(self._sizes, 1)
+        starts = np.cumsum(sizes) - sizes
+        word = np.insert(word[coded.indices.to_numpy()], offsets[1:], len(sizes) - 1)
+        n = sizes[word]
+        place = np.concatenate([[0], np.cumsum(n)])
+        out = flat[np.arange(place[-1]) + np.repeat(starts[word] - place[:-1], n)]
+        counts = np.diff(place[offsets + np.arange(len(offsets))])
+        if len(self._known) > _KNOWN_WORDS:
+            for w in new:
+                del self._known[w]
+            self._ids, self._sizes = self._ids[:n_ids], self._sizes[:before]
+        return out, counts
 
 
 @cache

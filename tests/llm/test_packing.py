@@ -15,6 +15,7 @@ TEXTS = [
     "it's  we'll x y 　 z",
     "Été 한 İstanbul ΟΔΟΣ ́lone 123 4a5 <|endoftext|>",
     "a" * 3000,
+    "stop. stop, stop) ϓ́. ͅa İ, don't. (a 'S. ",
     "one two three " * 9000,
     "tail",
     "tail",
