@@ -145,7 +145,8 @@ def repeated_runs(
     held = found.groupBy("digest", "length").agg(
         F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.min("id").alias("first_id")
     )
-    repeated = held.where("first_row < last_row").select("digest", "length", "first_id")
+    # Written, so that the join deals both sides anew and can split a hot digest.
+    repeated = cut(held.where("first_row < last_row").select("digest", "length", "first_id"), "repeated-chunks")
     marked = found.join(repeated, ["digest", "length"])
     in_order = Window.partitionBy("row").orderBy("nth")
     islands = marked.withColumn("island", F.col("nth") - F.row_number().over(in_order))
