@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from gavelframe.llm import licences
 from gavelframe.llm.chunking import repeated_runs
 from gavelframe.llm.common import table
+from gavelframe.llm.context_mixing import score_texts
+from gavelframe.llm.cotraining import classify
 from gavelframe.llm.exact_dedup import exact_dedup
 from gavelframe.llm.line_dedup import remove_spread_lines
 from gavelframe.llm.minhash import near_duplicates
@@ -23,6 +25,11 @@ def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("row.doc_id", "text_score", "metadata_score", "score", "kept")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -55,6 +62,10 @@ def op6_concat_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op7_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op8_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -114,10 +125,12 @@ SELECT doc_id, n_lines, n_removed, length(clean_text) AS clean_chars, sha256(cle
 
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
+    "op2_cotraining": op2_cotraining,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_licence_scan": op4_licence_scan,
     "op5_vantage_trees": op5_vantage_trees,
     "op6_concat_packing": op6_concat_packing,
+    "op7_context_mixing": op7_context_mixing,
     "op8_pareto_mixing": op8_pareto_mixing,
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_line_spread": op10_line_spread,
