@@ -226,6 +226,27 @@ ORACLES["quarantine"] = f"""
   FROM documents WHERE lang = 'es'"""
 
 
+def nested_blocks(spark, sf_dir):
+    """Documents as one block in as many nested elements as the id says (0 to 59), with a marked inner block."""
+    docs = use_all_cores(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    depth = (F.col("doc_id") % 60).cast("int")
+    line = F.replace(F.replace(F.split("text", "\n")[0], F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    html = F.concat(
+        F.lit('<section id="highlight_content"><p class="content" title="a > b"><div class="para">'),
+        F.repeat(F.lit("<div>"), depth), line, F.lit('<div class="para">mark</div>'), F.repeat(F.lit("</div>"), depth),
+        F.lit('</div></p></section><div class="para">out</div>'),
+    )
+    pages = docs.select(F.concat(F.lit("x/"), F.col("doc_id").cast("string"), F.lit(".html")).alias("raw_html_path"), html.alias("html"))
+    rows = ex.extract_pages(pages, COURT_LAYOUT)
+    return rows.select("html_id", F.get("paragraphs", F.lit(0)).alias("outer_block"), F.get("paragraphs", F.lit(1)).alias("inner_block"), F.size("paragraphs").cast("long").alias("n"))
+
+
+QUERIES["nested_blocks"] = nested_blocks
+ORACLES["nested_blocks"] = f"""
+  SELECT CAST(doc_id AS VARCHAR) AS html_id, {squeeze_sql("split_part(text, chr(10), 1) || ' mark'")} AS outer,
+    'mark' AS inner_block, CAST(2 AS BIGINT) AS n FROM documents"""
+
+
 def run_counters(spark, sf_dir):
     rows = ex.extract_pages(court_pages(spark, sf_dir), COURT_LAYOUT)
     status = F.when(F.col("error_message").isNull(), "processed").otherwise("failed")
