@@ -243,7 +243,7 @@ def nested_blocks(spark, sf_dir):
 
 QUERIES["nested_blocks"] = nested_blocks
 ORACLES["nested_blocks"] = f"""
-  SELECT CAST(doc_id AS VARCHAR) AS html_id, {squeeze_sql("split_part(text, chr(10), 1) || ' mark'")} AS outer,
+  SELECT CAST(doc_id AS VARCHAR) AS html_id, {squeeze_sql("split_part(text, chr(10), 1) || ' mark'")} AS outer_block,
     'mark' AS inner_block, CAST(2 AS BIGINT) AS n FROM documents"""
 
 
