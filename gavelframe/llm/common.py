@@ -27,3 +27,19 @@ def ascii_lower(text: Column) -> Column:
 def packed(docs: DataFrame, **columns: Column) -> DataFrame:
     """Whole rows as one struct `row` beside computed columns, so that no name can clash."""
     return docs.select(F.struct("*").alias("row"), *[column.alias(name) for name, column in columns.items()])
+
+
+def text_key(id_column: Column, text: Column) -> Column:
+    """Never-NULL name of a row's id and text, by which decisions find their rows again."""
+    name = F.coalesce(F.concat(F.lit("="), id_column.cast("string")), F.lit("NULL"))
+    return F.concat_ws("/", F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256), name)
+
+
+def once(docs: DataFrame, key: Column, stay: DataFrame) -> DataFrame:
+    """The rows of `docs` whose key is in the column `key` of `stay`, rows with equal keys once.
+
+    Copies of a text have keys of their own by their ids, so no key is large
+    unless whole rows repeat; those are combined within each task first.
+    """
+    rows = packed(docs, key=key).join(stay.select("key"), "key", "left_semi")
+    return rows.groupBy("key").agg(F.first("row").alias("row")).select("row.*")

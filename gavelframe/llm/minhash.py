@@ -10,12 +10,13 @@ Only ranks that a set needs to fill its coordinates are thrown: about
 k log k + 2 k darts in all, whatever its size.
 
 Equal shingle sets are folded into one node first. Nodes meet in the buckets of
-their bands; each is verified against the two ends of a bucket, so a bucket
-gives at most two pairs per member. Buckets that still span several components
-are compared across components: short ones directly, long ones by prefix
-filtering (two sets of similarity s share one of their rarest shingles), never
-within the largest component. Thus no link between components that share a
-bucket is missed, and no group is expanded into all of its pairs.
+their bands; every member is verified against the most central one, the node
+that shares most bucket places with others, so a bucket gives one pair per
+member. What still lies in different components of one bucket is compared
+again, except within its largest component: in buckets of up to `_SHORT_BUCKET`
+nodes pair by pair, in longer ones block by block, where a task counts common
+shingles through an index and puts out the links only. So no link between
+components that share a bucket is missed, and no group is expanded into pairs.
 """
 
 from __future__ import annotations
@@ -23,12 +24,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gavelframe.llm.common import once, text_key
 from gavelframe.llm.components import components
 from gavelframe.llm.shingles import mix, shingle_sets
 from gavelframe.session import cut
@@ -36,6 +39,7 @@ from gavelframe.session import cut
 _ROWS_AT_ONCE = 1000
 _ROW_BITS = 33
 _SHORT_BUCKET = 32
+_BLOCK = 512
 _DART_STEP, _STRIP_STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _PLACE_SALT, _BAND_STEP = np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x9E3779B97F4A7C15)
 
@@ -106,7 +110,7 @@ def _band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands: int, rows: int) -> DataFrame:
-    """row (a number of the input row), id, set_1 and set_2 (digest of the shingle set), n, shingles, buckets."""
+    """row (a number of the input row), id, key, set_1 and set_2 (digest of the shingle set), n, shingles, buckets."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << _ROW_BITS
@@ -129,6 +133,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands: i
                     [
                         pa.array(row + np.arange(len(sets))),
                         part.column("id"),
+                        part.column("key"),
                         pa.array(digests[:, 0]),
                         pa.array(digests[:, 1]),
                         pa.array(np.diff(bounds)),
@@ -137,14 +142,15 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands: i
                             pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands), pa.array(buckets.view(np.int64).ravel())
                         ),
                     ],
-                    names=["row", "id", "set_1", "set_2", "n", "shingles", "buckets"],
+                    names=["row", "id", "key", "set_1", "set_2", "n", "shingles", "buckets"],
                 )
                 row += len(sets)
 
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    columns = f"row long, id {kind}, set_1 long, set_2 long, n int, shingles array<int>, buckets array<long>"
-    return docs.select(F.col(id_col).alias("id"), text.alias("text")).mapInArrow(sign, columns)
+    columns = f"row long, id {kind}, key string, set_1 long, set_2 long, n int, shingles array<int>, buckets array<long>"
+    named = docs.select(F.col(id_col).alias("id"), text_key(F.col(id_col), F.col(text_col)).alias("key"), text.alias("text"))
+    return named.mapInArrow(sign, columns)
 
 
 def _two_halves(shingles: np.ndarray) -> tuple[int, int]:
@@ -152,53 +158,92 @@ def _two_halves(shingles: np.ndarray) -> tuple[int, int]:
     return digest >> 64, digest & (2**64 - 1)
 
 
+def _similar_size(one: str, other: str, threshold: float) -> Column:
+    return F.least(one, other) >= F.lit(threshold) * F.greatest(one, other) - 1e-9
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """a, b: the pairs whose exact Jaccard similarity reaches the threshold. Moves only sets that have a pair."""
+    """a, b: the pairs whose exact Jaccard similarity reaches the threshold.
+
+    The set of b, which may stand in many pairs, is joined first: only ids are
+    then dealt by b, and what carries a set is dealt by a.
+    """
     pairs = cut(pairs.distinct(), "near-pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    used = cut(sets.join(nodes, "row", "left_semi"), "near-sets")
-    left = used.select(F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("shingles_a"))
-    right = used.select(F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("shingles_b"))
+    left = sets.select(F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("shingles_a"))
+    right = sets.select(F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("shingles_b"))
     common = F.size(F.array_intersect("shingles_a", "shingles_b"))
     alike = common >= F.lit(threshold) * (F.col("n_a") + F.col("n_b") - common) - 1e-9
-    return cut(pairs.join(left, "a").join(right, "b").where(alike).select("a", "b"), "near-links")
-
-
-def _pair(one: str, other: str) -> list:
-    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
-
+    return cut(pairs.join(right, "b").join(left, "a").where(alike).select("a", "b"), "near-links")
 
-def _across(members: DataFrame, key: list[str], threshold: float) -> DataFrame:
-    """a, b: pairs of members of one key in different components and near enough in size.
 
-    The largest component of a key is compared with the others, not with itself.
-    """
-    sizes = members.groupBy(*key, "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy(*key).agg(F.max(F.struct("size", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-    spanned = cut(largest.where("parts > 1").select(*key, F.col("top.component").alias("largest")), "near-spanned")
-    held = cut(members.join(spanned, key), "near-across")
-    left = held.where("component <> largest").select(*key, F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x"))
-    right = held.select(*key, F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("c_y"), "largest")
-    met = left.join(right, key).where(
-        (F.col("c_x") != F.col("c_y"))
-        & ((F.col("c_y") == F.col("largest")) | (F.col("x") < F.col("y")))
-        & (F.least("n_x", "n_y") >= F.lit(threshold) * F.greatest("n_x", "n_y") - 1e-9)
+def _central(members: DataFrame) -> DataFrame:
+    """band, bucket, centre, centre_n, centre_component: the member with the most shared places, the largest of equals."""
+    top = F.max(F.struct("places", "node", "n", "component")).alias("top")
+    found = members.groupBy("band", "bucket").agg(top)
+    return found.select(
+        "band", "bucket", F.col("top.node").alias("centre"), F.col("top.n").alias("centre_n"), F.col("top.component").alias("centre_component")
     )
-    return met.select(*_pair("x", "y"))
 
 
-def _prefixes(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """node, n, component, shingle: the rarest shingles of each node, of which similar sets share one."""
-    nodes = members.select("node", "component").distinct()
-    long = cut(
-        sets.join(nodes, F.col("row") == F.col("node")).select("node", "n", "component", F.explode("shingles").alias("shingle")),
-        "near-long",
-    )
-    rarity = long.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    ranked = long.join(rarity, "shingle").groupBy("node", "n", "component").agg(F.collect_list(F.struct("df", "shingle")).alias("all"))
-    length = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1
-    rarest = F.slice(F.array_sort("all"), F.lit(1), length)
-    return ranked.select("node", "n", "component", F.explode(rarest).alias("s")).select("node", "n", "component", "s.shingle")
+def _with_centre(members: DataFrame, centres: DataFrame, threshold: float) -> DataFrame:
+    """a, b: each member with its bucket's centre, unless they are connected already or differ too much in size."""
+    met = members.join(cut(centres, "near-centres"), ["band", "bucket"])
+    apart = F.col("component") != F.col("centre_component")
+    return met.where(apart & _similar_size("n", "centre_n", threshold)).select(F.col("node").alias("a"), F.col("centre").alias("b"))
+
+
+def _largest_components(members: DataFrame) -> DataFrame:
+    """band, bucket, largest: of the buckets that span several components, the one with most members."""
+    sizes = members.groupBy("band", "bucket", "component").agg(F.count(F.lit(1)).alias("nodes"))
+    top = F.max(F.struct("nodes", "component")).alias("top")
+    found = sizes.groupBy("band", "bucket").agg(top, F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return cut(found.select("band", "bucket", F.col("top.component").alias("largest")), "near-spanned")
+
+
+def _across(members: DataFrame, threshold: float) -> DataFrame:
+    """a, b: pairs of members of one bucket in different components and near enough in size."""
+    one = members.select("band", "bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), "largest")
+    other = members.select("band", "bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    met = one.where("c_a <> largest").join(other, ["band", "bucket"])
+    once = (F.col("c_b") == F.col("largest")) | (F.col("a") < F.col("b"))
+    return met.where((F.col("c_a") != F.col("c_b")) & once & _similar_size("n_a", "n_b", threshold)).select("a", "b")
+
+
+def _index_links(threshold: float):
+    """Links between the sets of two blocks, from counts of common shingles by an index over the second."""
+
+    def link(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        if len(one) and len(other):
+            sizes = other["n"].to_numpy(np.int64)
+            shingles = np.concatenate(other["shingles"].to_list())
+            order = np.argsort(shingles, kind="stable")
+            shingles, owner = shingles[order], np.repeat(np.arange(len(other)), sizes)[order]
+            nodes, parts = other["node"].to_numpy(), other["component"].to_numpy()
+            for node, n, part, own in zip(one["node"], one["n"], one["component"], one["shingles"], strict=True):
+                low, high = np.searchsorted(shingles, own, "left"), np.searchsorted(shingles, own, "right")
+                runs = high - low
+                at = np.arange(runs.sum()) + np.repeat(low - (np.cumsum(runs) - runs), runs)
+                common = np.bincount(owner[at], minlength=len(other))
+                alike = (common >= threshold * (n + sizes - common) - 1e-9) & (parts != part)
+                found.append((np.full(alike.sum(), node), nodes[alike]))
+        return pd.DataFrame({"a": np.concatenate([a for a, _ in found]), "b": np.concatenate([b for _, b in found])})
+
+    return link
+
+
+def _blockwise(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """a, b: links of members outside the largest component of their bucket with all others of the bucket."""
+    blocks = F.ceil(F.col("size") / _BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    held = members.join(sets.select(F.col("row").alias("node"), "shingles"), "node")
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    key = ["band", "bucket", "i", "j"]
+    # New names for the same columns, as both sides come from one table.
+    columns = [F.col(c).alias(c) for c in (*key, "node", "n", "component", "shingles")]
+    one = held.where("component <> largest").withColumn("i", own).withColumn("j", every).select(columns)
+    other = held.withColumn("j", own).withColumn("i", every).select(columns)
+    return one.groupBy(key).cogroup(other.groupBy(key)).applyInPandas(_index_links(threshold), "a long, b long")
 
 
 def near_duplicates(
@@ -210,7 +255,7 @@ def near_duplicates(
     bands: int = 16,
     rows: int = 4,
 ) -> DataFrame:
-    """One row per input row: id, class_id, class_size, kept.
+    """One row per input row: id, class_id, class_size, kept, key (`common.text_key` of the row).
 
     Words are what stands between ASCII white space, A-Z lower-cased; sets of
     `width` consecutive words are compared by Jaccard similarity (on 32-bit
@@ -224,38 +269,38 @@ def near_duplicates(
     signed = cut(signatures(docs, id_col, text_col, width, bands, rows), "near-signatures")
     nodes = signed.where("n > 0").groupBy("set_1", "set_2").agg(F.min("row").alias("node"))
     nodes = cut(nodes, "near-nodes")
-    sets = signed.select("row", "n", "shingles")
-
     whole = signed.select("row", "n", "buckets").join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
     members = cut(
         whole.select(F.col("row").alias("node"), "n", F.posexplode("buckets").alias("band", "bucket")), "near-members"
     )
-    buckets = members.groupBy("band", "bucket").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size")
-    )
-    buckets = cut(buckets.where("size > 1"), "near-buckets")
-    shared = cut(members.join(buckets, ["band", "bucket"]), "near-shared")
-    ends = shared.select("node", F.explode(F.array("low", "high")).alias("end")).where("node <> end").select(*_pair("node", "end"))
-    links = _verified(ends, sets, threshold)
+    sizes = members.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = cut(members.join(cut(sizes, "near-buckets"), ["band", "bucket"]), "near-shared")
+    places = shared.groupBy("node").agg(F.sum("size").alias("places"))
+    shared = cut(shared.join(places, "node").withColumn("component", F.col("node")), "near-places")
+    sets = cut(signed.select("row", "n", "shingles").join(places.select(F.col("node").alias("row")), "row", "left_semi"), "near-sets")
+    links = _verified(_with_centre(shared, _central(shared), threshold), sets, threshold)
 
     found = components(links, "a", "b")
-    placed = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = cut(placed.select("band", "bucket", "node", "n", "size", "component"), "near-placed")
-    direct = _across(placed.where(F.col("size") <= _SHORT_BUCKET).drop("size"), ["band", "bucket"], threshold)
-    crowded = placed.where(F.col("size") > _SHORT_BUCKET)
-    mixed = crowded.groupBy("band", "bucket").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d")
-    crowded = crowded.join(cut(mixed.select("band", "bucket"), "near-mixed"), ["band", "bucket"], "left_semi")
-    indirect = _across(_prefixes(crowded, sets, threshold), ["shingle"], threshold)
-    more = _verified(direct.unionByName(indirect), sets, threshold)
+    placed = shared.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = cut(placed, "near-placed")
+    spanned = cut(placed.join(_largest_components(placed), ["band", "bucket"]), "near-across")
+    direct = _across(spanned.where(F.col("size") <= _SHORT_BUCKET), threshold)
+    crowded = _blockwise(spanned.where(F.col("size") > _SHORT_BUCKET), sets, threshold)
+    more = _verified(direct, sets, threshold).unionByName(cut(crowded, "near-crowded"))
 
     found = components(links.unionByName(more), "a", "b")
-    own = signed.select("row", "id", "set_1", "set_2", "n").join(nodes, ["set_1", "set_2"], "left")
+    own = signed.select("row", "id", "key", "set_1", "set_2", "n").join(nodes, ["set_1", "set_2"], "left")
     node = F.when(F.col("n") > 0, F.col("node")).otherwise(F.col("row"))
     own = own.withColumn("node", node).join(found, "node", "left")
-    own = cut(own.select("row", "id", F.coalesce("component", "node").alias("component")), "near-classes")
+    own = cut(own.select("row", "id", "key", F.coalesce("component", "node").alias("component")), "near-classes")
     first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "row"))
     classes = own.groupBy("component").agg(first.alias("first"), F.count(F.lit(1)).alias("class_size"))
     classes = cut(classes.select("component", "first.id", "first.row", "class_size").toDF("component", "class_id", "keep_row", "class_size"), "near-class-ids")
     return own.join(classes, "component").select(
-        F.col("id").alias(id_col), "class_id", "class_size", (F.col("row") == F.col("keep_row")).alias("kept")
+        F.col("id").alias(id_col), "class_id", "class_size", (F.col("row") == F.col("keep_row")).alias("kept"), "key"
     )
+
+
+def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: float) -> DataFrame:
+    """The documents that stay, one of each class, with all their columns."""
+    return once(docs, text_key(F.col(id_col), F.col(text_col)), cut(near_duplicates(docs, id_col, text_col, **options).where("kept"), "near-kept"))
