@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gavelframe.llm.common import ascii_lower, packed
+from gavelframe.llm.common import ascii_lower, once
 from gavelframe.session import cut
 
 
@@ -101,17 +101,15 @@ def exact_dedup(
 def keep_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The documents that stay, with all their columns; repeated rows of a winner once.
 
-    Rows are dealt by digest and id, so the copies of one text spread over the
-    tasks, and only winners find a partner.
+    Rows are dealt by text and id, so the copies of one text spread over the
+    tasks, and only winners find a partner. A digest that clashed names all its
+    texts' winners, and every one of them is of another text.
     """
     found = classes(docs, id_col, text_col, salts)
-    winners = cut(found.select("digest", "keep_id", "clash_text"), "exact-winners")
-    text = ascii_lower(F.col(text_col))
-    rows = packed(docs, digest=_sha256(text), id=F.col(id_col), content=text)
-    same = (
-        (rows["digest"] == winners["digest"])
-        & rows["id"].eqNullSafe(winners["keep_id"])
-        & (winners["clash_text"].isNull() | (winners["clash_text"] == rows["content"]))
-    )
-    stay = rows.join(winners, same, "left_semi")
-    return stay.groupBy("digest", "id", F.xxhash64("content").alias("content_hash")).agg(F.first("row").alias("row")).select("row.*")
+    winners = found.select(_winner_key(F.col("digest"), F.col("keep_id")).alias("key"))
+    key = _winner_key(_sha256(ascii_lower(F.col(text_col))), F.col(id_col))
+    return once(docs, key, cut(winners, "exact-winners"))
+
+
+def _winner_key(digest: Column, id_column: Column) -> Column:
+    return F.concat_ws("/", digest, F.coalesce(F.concat(F.lit("="), id_column.cast("string")), F.lit("NULL")))
