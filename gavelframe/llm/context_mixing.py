@@ -43,9 +43,9 @@ _SLOTS = sum(_SIZES)
 _CHUNK = 4096
 _MOST = 2**31 - 1  # counters stay there
 _END_BYTE = 0xFF  # never part of UTF-8: ends a text, and stands before its first byte
-_SLICE_BYTES = 8_000_000
-_KNOWN_WINDOWS = 1_500_000
-_MERGE_AT = 4_000_000
+_SLICE_BYTES = 3_000_000
+_KNOWN_WINDOWS = 1_200_000
+_MERGE_AT = 2_500_000
 _ROW_BITS = 33
 _END_TOKEN = "\n"  # no token holds white space
 _APM = np.linspace(-8, 8, 33)
@@ -61,7 +61,7 @@ def windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(x) + 1 for x in data], np.int64)
     key = joined.astype(np.uint64)
     for j in range(1, pad + 1):
-        key[j:] |= joined[:-j].astype(np.uint64) << np.uint64(8 * j)
+        key[j:] |= np.left_shift(joined[:-j], np.uint64(8 * j), dtype=np.uint64)
     real = np.ones(len(joined), bool)
     starts = np.cumsum(sizes + pad) - sizes - pad
     for j in range(pad):
@@ -69,12 +69,12 @@ def windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return key[real], np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+def _slices(texts: pa.Array, most: int = _SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     a = 0
     while a < len(texts):
         before = sizes[a - 1] if a else 0
-        b = max(a + 1, int(np.searchsorted(sizes, before + _SLICE_BYTES)))
+        b = max(a + 1, int(np.searchsorted(sizes, before + most)))
         yield a, texts.slice(a, b - a)
         a = b
 
@@ -241,14 +241,13 @@ def count_tokens(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, codes, bounds = _tokens(batch.column("text"))
-            learn = batch.column("learn").to_numpy(zero_copy_only=False).astype(bool)
-            n_all = np.bincount(codes, minlength=len(words))
-            c = np.bincount(codes[np.repeat(learn, np.diff(bounds))], minlength=len(words))
-            yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([words, pa.array([_END_TOKEN])]), pa.array(np.append(n_all, len(batch))), pa.array(np.append(c, learn.sum()))],
-                names=["token", "n_all", "c"],
-            )
+            for a, part in _slices(batch.column("text"), 4 * _SLICE_BYTES):
+                words, codes, bounds = _tokens(part)
+                learn = batch.column("learn").slice(a, len(part)).to_numpy(zero_copy_only=False).astype(bool)
+                n_all = np.append(np.bincount(codes, minlength=len(words)), len(part))
+                c = np.append(np.bincount(codes[np.repeat(learn, np.diff(bounds))], minlength=len(words)), learn.sum())
+                tokens = pa.concat_arrays([words, pa.array([_END_TOKEN])])
+                yield pa.RecordBatch.from_arrays([tokens, pa.array(n_all), pa.array(c)], names=["token", "n_all", "c"])
 
     parts = texts.select("text", "learn").mapInArrow(count, "token string, n_all long, c long")
     return parts.groupBy("token").agg(F.sum("n_all").alias("n_all"), F.sum("c").alias("c"))
