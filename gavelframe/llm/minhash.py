@@ -277,7 +277,9 @@ def near_duplicates(
     shared = cut(members.join(cut(sizes, "near-buckets"), ["band", "bucket"]), "near-shared")
     places = shared.groupBy("node").agg(F.sum("size").alias("places"))
     shared = cut(shared.join(places, "node").withColumn("component", F.col("node")), "near-places")
-    sets = cut(signed.select("row", "n", "shingles").join(places.select(F.col("node").alias("row")), "row", "left_semi"), "near-sets")
+    # The list of nodes grows with the corpus: never broadcast, so every size runs the same plan.
+    listed = places.select(F.col("node").alias("row")).hint("merge")
+    sets = cut(signed.select("row", "n", "shingles").join(listed, "row", "left_semi"), "near-sets")
     links = _verified(_with_centre(shared, _central(shared), threshold), sets, threshold)
 
     found = components(links, "a", "b")
