@@ -18,6 +18,7 @@ from gavelframe.functions import dates
 from gavelframe.functions import text as tx
 from gavelframe.operators import registry as rg
 from gavelframe.session import settle, spread_key
+from gavelframe.sources import paths
 
 _CASE = tx.at_word("1-9", cb.CASE_PATTERN)
 _REPORT = tx.at_word("ABD", cb.REPORT_CITATION_PATTERN)
@@ -30,18 +31,18 @@ CONTEXT = ("parties", "holdings", "text_start")
 # --- registry enrichment ---------------------------------------------------
 
 
-def enrich(extracted: DataFrame, log: DataFrame) -> DataFrame:
+def enrich(extracted: DataFrame, log: DataFrame, root: str | None = None) -> DataFrame:
     """Judgments (extracted, or coded already) with the registry columns of their page, as ``reg_*``.
 
     The registry side has one row per path after its aggregate, so a page can
     not multiply. Judgments without a path cannot match; their keys are spread
     instead of meeting in one task.
     """
-    newest = rg.registry_by_path(log).select(
-        F.col("raw_html_path").alias("_path"), *[F.col(c).alias(f"reg_{c}") for c in REGISTRY_INPUTS]
+    newest = rg.registry_by_path(log, root=root).select(
+        paths.path_key(F.col("raw_html_path"), root).alias("_path"), *[F.col(c).alias(f"reg_{c}") for c in REGISTRY_INPUTS]
     )
     path = F.col("raw_html_path")
-    keyed = extracted.withColumn("_key", spread_key(path, path != "", F.col("html_id")))
+    keyed = extracted.withColumn("_key", spread_key(paths.path_key(path, root), path != "", F.col("html_id")))
     return keyed.join(newest, F.col("_key") == F.col("_path"), "left").drop("_key", "_path")
 
 
@@ -424,13 +425,17 @@ def annotate(
 
 
 def annotate_with_log(
-    extracted: DataFrame, log: DataFrame, model_name: str | None = None, keep: Sequence[str] | None = None
+    extracted: DataFrame,
+    log: DataFrame,
+    model_name: str | None = None,
+    keep: Sequence[str] | None = None,
+    root: str | None = None,
 ) -> DataFrame:
     """Annotation records of extracted judgments, with the registry log joined in.
 
     Pages are coded first, so the join moves the coded columns, not the texts.
     """
-    return finish(enrich(code_page(extracted), log), model_name, keep)
+    return finish(enrich(code_page(extracted), log, root), model_name, keep)
 
 
 def _size_or_null(arr: Column) -> Column:

@@ -11,8 +11,9 @@ from gavelframe import schemas
 from gavelframe.functions import codebook as cb
 from gavelframe.functions import text as tx
 from gavelframe.session import spread_key
+from gavelframe.sources import pages, paths
 
-LOG_ORDER = ("batch_seq", "scraped_at", "line_no")
+LOG_ORDER = ("batch_seq", "line_no", "scraped_at")
 
 
 def record_key(docid: Column, url: Column) -> Column:
@@ -49,9 +50,9 @@ def registry_index(log: DataFrame, order: Sequence[str] = LOG_ORDER) -> DataFram
     return latest_by(log, record_key(F.col("docid"), F.col("url")), order)
 
 
-def registry_by_path(log: DataFrame, order: Sequence[str] = LOG_ORDER) -> DataFrame:
-    """Latest record per page path. Records without a path do not hide earlier ones."""
-    return latest_by(log, tx.null_if_empty(F.col("raw_html_path")), order).drop("record_key")
+def registry_by_path(log: DataFrame, order: Sequence[str] = LOG_ORDER, root: str | None = None) -> DataFrame:
+    """Latest record per page. Records without a path do not hide earlier ones."""
+    return latest_by(log, paths.path_key(tx.null_if_empty(F.col("raw_html_path")), root), order).drop("record_key")
 
 
 def is_downloaded(status: Column, raw_html_path: Column) -> Column:
@@ -63,16 +64,19 @@ def is_error(status: Column) -> Column:
     return F.coalesce(status == cb.ERROR_STATUS, F.lit(False))
 
 
-def existing_downloads(index: DataFrame, listing: DataFrame) -> DataFrame:
-    """Downloaded records whose file is in the listing."""
+def existing_downloads(index: DataFrame, listing: DataFrame, root: str | None = None) -> DataFrame:
+    """Downloaded records whose file is in the listing, in whatever form either writes its path."""
     done = index.where(is_downloaded(F.col("status"), F.col("raw_html_path")))
-    return done.join(listing.select("raw_html_path"), "raw_html_path", "left_semi").select(*index.columns)
+    done = done.withColumn("_path", paths.path_key(F.col("raw_html_path"), root))
+    files = listing.select(paths.path_key(F.col("raw_html_path"), root).alias("_path"))
+    return done.join(files, "_path", "left_semi").select(*index.columns)
 
 
-def _first_per_docid(decisions: DataFrame, order: Sequence[str]) -> DataFrame:
-    rest = [c for c in decisions.columns if c != "docid"]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
-    return decisions.groupBy("docid").agg(first).select("docid", *[f"_first.{c}" for c in rest]).select(*decisions.columns)
+def _first_per_docid(decisions: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    # Decisions without a docid are told apart by their URL.
+    key = record_key(F.col("docid"), F.col("url"))
+    first = F.min_by(F.struct(*decisions.columns), F.struct(*order)).alias("_first")
+    return decisions.groupBy(key.alias("_key")).agg(first).select("_first.*")
 
 
 def download_plan(
@@ -81,7 +85,8 @@ def download_plan(
     listing: DataFrame,
     force: bool = False,
     retry_errors: bool = False,
-    order: Sequence[str] = ("decision_date", "search_page_path", "url"),
+    order: Sequence[str | Column] | None = None,
+    root: str | None = None,
 ) -> DataFrame:
     """Decisions to fetch.
 
@@ -91,14 +96,17 @@ def download_plan(
     """
     if force:
         return decisions
+    if order is None:
+        page = pages.page_name_fields(F.col("search_page_path"))[1]  # as a number: page 2 comes before page 10
+        order = ("decision_date", page.alias("page"), "search_page_path", "url")
     wanted = _first_per_docid(decisions, order)
-    on_file = listing.select(F.col("raw_html_path").alias("_file")).distinct()
+    on_file = listing.select(paths.path_key(F.col("raw_html_path"), root).alias("_file")).distinct()
     downloaded = is_downloaded(F.col("status"), F.col("raw_html_path"))
     state = index.select(
         "record_key",
         downloaded.alias("_downloaded"),
         is_error(F.col("status")).alias("_error"),
-        spread_key(F.col("raw_html_path"), downloaded, F.col("record_key")).alias("_path"),
+        spread_key(paths.path_key(F.col("raw_html_path"), root), downloaded, F.col("record_key")).alias("_path"),
     )
     state = state.join(on_file, F.col("_path") == F.col("_file"), "left").select(
         "record_key", "_error", F.col("_file").isNotNull().alias("_exists")
@@ -122,7 +130,8 @@ def download_plan(
 
 
 def _log_columns(rows: DataFrame) -> DataFrame:
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.REGISTRY.fields])
+    fields = [f for f in schemas.REGISTRY.fields if f.name != "batch_seq"]  # stamped when appended
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def success_rows(decisions: DataFrame, results: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from gavelframe.operators import links as lk
 from gavelframe.operators import registry as rg
 from gavelframe.session import cut
 from gavelframe.sources import pages as pg
-from gavelframe.sources import records
+from gavelframe.sources import paths, records
 
 
 def discovered(
@@ -54,14 +54,32 @@ def plan_run(
     decisions = cut(decisions, "decisions")
     index = rg.registry_index(records.read_registry(spark, registry_path))
     listing = pg.list_page_files(spark, judgment_folder)
-    wanted = rg.download_plan(decisions, index, listing, force, retry_errors)
-    planned = inc.limit_pending(wanted, limit, "docid")
-    counters = decisions.agg(F.count("*").alias("discovered")).crossJoin(planned.agg(F.count("*").alias("planned")))
+    wanted = rg.download_plan(decisions, index, listing, force, retry_errors, root=judgment_folder)
+    target = paths.digest_path(judgment_folder, F.col("docid"), F.col("url"))
+    page = pg.page_name_fields(F.col("search_page_path"))[1]
+    ordered = inc.limit_pending(wanted, limit, "decision_date", page, "search_page_path", "url")
+    planned = cut(ordered.withColumn("target_path", target), "download-plan")
+    counted = {"discovered": decisions.count(), "planned": planned.count()}
+    counters = spark.createDataFrame([counted], "discovered long, planned long")
     return planned, counters
 
 
+def run_counts(counters: DataFrame, rows: DataFrame) -> dict[str, int]:
+    """attempted, downloaded, skipped and errors of a run, from its plan's counters and the log rows of its outcomes."""
+    plan = counters.head()
+    done = rows.agg(
+        F.count(F.lit(1)).alias("attempted"),
+        F.count_if(F.col("status").isin(*cb.DOWNLOADED_STATUSES)).alias("downloaded"),
+        F.count_if(rg.is_error(F.col("status"))).alias("errors"),
+    ).head()
+    return {**done.asDict(), "skipped": plan["discovered"] - plan["planned"]}
+
+
 def log_rows(decisions: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Registry rows for fetch outcomes: ``docid, status, ..., message``."""
-    good = outcomes.where(F.col("status").isin(*cb.DOWNLOADED_STATUSES)).drop("message")
-    bad = outcomes.where(rg.is_error(F.col("status"))).select("docid", "message", "scraped_at")
+    """Registry rows for fetch outcomes: ``docid, status, ..., message``. Any other status is logged as an error."""
+    fetched = F.coalesce(F.col("status").isin(*cb.DOWNLOADED_STATUSES), F.lit(False))
+    good = outcomes.where(fetched).drop("message")
+    odd = F.concat(F.lit("unexpected status: "), F.coalesce("status", F.lit("none")))
+    message = F.coalesce("message", F.when(~rg.is_error(F.col("status")), odd))
+    bad = outcomes.where(~fetched).select("docid", message.alias("message"), "scraped_at")
     return rg.success_rows(decisions, good).unionByName(rg.error_rows(decisions, bad))

@@ -40,6 +40,7 @@ REGISTRY = _struct(
     source=_S,
     language=_S,
     court=_S,
+    batch_seq=T.LongType(),
 )
 
 EXTRACTED = _struct(

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_OPEN_CUTS: ContextVar[list[str] | None] = ContextVar("open_cuts", default=None)
 
 # What the jobs rely on; the caller's own values win.
 DEFAULTS = {
@@ -58,19 +62,35 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = fresh_folder(spark, name)
+    held = _OPEN_CUTS.get()
+    if held is not None:
+        held.append(folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def passing_cuts(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that `cut` writes inside, at the end. For runs that write their results before they return."""
+    held: list[str] = []
+    token = _OPEN_CUTS.set(held)
+    try:
+        yield
+    finally:
+        _OPEN_CUTS.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for folder in held:
+            path = hadoop(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def use_all_cores(df: DataFrame) -> DataFrame:
-    """Spread an input over the cores if it comes in fewer pieces than that.
+    """Deal an input out evenly before costly text rules.
 
     Text rules cost far more than moving the rows, so one large row group would
-    otherwise keep one core busy. Inputs with enough splits are left alone: no
-    shuffle.
+    otherwise keep one core busy. Adaptive execution sizes the pieces.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def settle(df: DataFrame) -> DataFrame:

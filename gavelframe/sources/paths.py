@@ -43,6 +43,21 @@ def annotation_path(extracted: Column, extracted_root: str, annotation_root: str
     return reroot(extracted, extracted_root, annotation_root)
 
 
+def path_key(path: Column, root: str | None = None) -> Column:
+    """One name for a file however its path is written: URI, absolute, or relative.
+
+    Scheme, host and doubled slashes go. With ``root``, so does the way to it,
+    whole or from any folder on it, which leaves the path below the root.
+    """
+    bare = F.regexp_replace(path, r"\A[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)", "")
+    bare = F.regexp_replace(F.regexp_replace(bare, "/{2,}", "/"), r"\A(?:\./)+", "")
+    if root is None:
+        return bare
+    parts = [p for p in re.sub(r"\A[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "", root).split("/") if p not in ("", ".")]
+    ways = "|".join(re.escape("/".join(parts[k:])) for k in range(len(parts)))
+    return F.regexp_replace(bare, rf"\A/?(?:{ways})/", "") if ways else bare
+
+
 def file_stem(path: Column) -> Column:
     """File name without its last suffix."""
     return F.regexp_replace(F.substring_index(path, "/", -1), r"(?<=.)\.[^.]+\z", "")

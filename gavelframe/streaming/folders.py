@@ -17,6 +17,7 @@ from gavelframe.functions.html import COURT_LAYOUT, PageLayout
 from gavelframe.operators import coding
 from gavelframe.operators import extraction as ex
 from gavelframe.sources import pages as pg
+from gavelframe.sources import records
 
 _FILE = T.StructType(
     [
@@ -52,10 +53,12 @@ def extract_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         # One folder per batch, overwritten on a replay, so a retry adds nothing twice.
         failed = F.col(ex.ERROR).isNotNull()
+        batch.persist()  # pages are taken apart once for both writes
         batch.where(~failed).drop(ex.ERROR).write.mode("overwrite").parquet(f"{extracted_folder}/batch={batch_id}")
         batch.where(failed).select("raw_html_path", ex.ERROR).write.mode("overwrite").parquet(
             f"{quarantine_folder}/batch={batch_id}"
         )
+        batch.unpersist()
 
     return (
         rows.writeStream.foreachBatch(write)
@@ -66,18 +69,33 @@ def extract_stream(
 
 
 def annotate_stream(
-    spark: SparkSession, extracted_folder: str, log: DataFrame, annotation_folder: str, checkpoint: str
+    spark: SparkSession,
+    extracted_folder: str,
+    log: DataFrame | str,
+    annotation_folder: str,
+    checkpoint: str,
+    quarantine_folder: str | None = None,
+    raw_folder: str | None = None,
 ) -> StreamingQuery:
-    """New extracted judgments become annotations; the log is read afresh per batch."""
+    """New extracted judgments become annotations; what fails goes to the quarantine.
+
+    A log given by its path is read afresh per batch. Without a folder of its
+    own, the quarantine lies beside the annotations.
+    """
+    bad_folder = quarantine_folder or f"{annotation_folder.rstrip('/')}-quarantine"
     extracted = (
         spark.readStream.schema(schemas.EXTRACTED).option("recursiveFileLookup", True).parquet(extracted_folder)
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = coding.stamp(coding.annotate_with_log(batch, log))
+        known = records.read_registry(spark, log) if isinstance(log, str) else log
+        rows = coding.stamp(coding.annotate_with_log(batch, known, root=raw_folder)).persist()
         rows.where("error_message is null").select(*schemas.ANNOTATION.fieldNames()).write.mode("overwrite").parquet(
             f"{annotation_folder}/batch={batch_id}"
         )
+        failed = rows.where("error_message is not null").select("html_id", "raw_html_path", "error_message")
+        failed.write.mode("overwrite").parquet(f"{bad_folder}/batch={batch_id}")
+        rows.unpersist()
 
     return (
         extracted.writeStream.foreachBatch(write)

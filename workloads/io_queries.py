@@ -12,13 +12,14 @@ from gavelframe.operators import coding
 from gavelframe.operators import comparison as cp
 from gavelframe.operators import extraction as ex
 from gavelframe.operators import incremental as inc
+from gavelframe.plans import annotation
 from gavelframe.session import fresh_folder, use_all_cores
 from gavelframe.sources import records, sinks
 from workloads import comparison_queries as cq
 from workloads import page_queries as pq
 from workloads import registry_queries as rq
 from workloads.coding_queries import widen
-from workloads.judgments import expected_sql, judgment_view
+from workloads.judgments import expected_sql, judgment_view, registry_log
 
 QUERIES = {}
 ORACLES = {}
@@ -72,6 +73,34 @@ QUERIES["sink_annotations"] = sink_annotations
 ORACLES["sink_annotations"] = expected_sql("docref", "date", "outcome", "warnings", "judge_names")
 
 
+def run_annotate_again(spark, sf_dir):
+    """A limited run, a full run, a forced and limited run: the folder and the aggregate hold every judgment once.
+
+    The log names pages by relative paths, the judgments by URIs.
+    """
+    folder = fresh_folder(spark, "runs")
+    extracted, log, coded, table, bad = (f"{folder}/{n}" for n in ("extracted", "log", "coded", "table", "bad"))
+    view = judgment_view(spark, sf_dir).withColumn("raw_html_path", F.concat(F.lit("file:///store/"), "raw_html_path"))
+    known = {f.name: F.col(f.name) if f.name in view.columns else F.lit(None).cast(f.dataType) for f in schemas.EXTRACTED.fields}
+    sinks.write_sharded(view.select([c.alias(n) for n, c in known.items()]), extracted)
+    records_of = registry_log(spark, sf_dir)
+    for batch in (2, 1, 3):  # the batch number decides, not the order of writing
+        sinks.append_registry(rq.registry_rows(records_of.where(F.col("line_no") == batch)), log, batch)
+    where = {"raw_folder": "/store/raw", "classifier_replies": None}
+    first = annotation.run(spark, extracted, log, coded, table, bad, limit=40, **where)
+    second = annotation.run(spark, extracted, log, coded, table, bad, **where)
+    forced = annotation.run(spark, extracted, log, coded, table, bad, limit=10, force=True, **where)
+    told = [first["processed"] == 40, second["skipped"] == 40, forced["processed"] == 10]
+    back = records.read_annotations(spark, coded).select("html_id", "docref", "date", "outcome")
+    kept = spark.read.parquet(table).select(F.col("html_id").alias("kept_id"), F.col("url"))
+    rows = back.join(kept, F.col("html_id") == F.col("kept_id"), "full_outer").drop("kept_id")
+    return rows.withColumn("counted", F.lit(all(told)))
+
+
+QUERIES["run_annotate_again"] = run_annotate_again
+ORACLES["run_annotate_again"] = f"SELECT *, true AS counted FROM ({expected_sql('docref', 'date', 'outcome', 'url')}) AS e"
+
+
 def aggregate_projection(spark, sf_dir):
     rows = coding.annotate(judgment_view(spark, sf_dir), keep=[*cb.CODEBOOK_COLUMNS, *cb.AUDIT_COLUMNS])
     return widen(sinks.aggregate_rows(rows))
@@ -113,7 +142,7 @@ def registry_malformed(spark, sf_dir):
     rows = rq.log(spark, sf_dir)
     line = F.when(F.col("status") == "error", F.lit("not json")).otherwise(F.to_json(F.struct("docid", "line_no")))
     rows.orderBy("line_no").coalesce(1).select(line.alias("value")).write.text(folder)
-    return records.malformed_lines(spark, folder, _log_schema()).select("line_number", "value")
+    return records.malformed_lines(spark, folder).select("line_number", "value")
 
 
 QUERIES["registry_malformed"] = registry_malformed

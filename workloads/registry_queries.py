@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gavelframe import schemas
 from gavelframe.functions import dates
 from gavelframe.operators import incremental as inc
 from gavelframe.operators import links as lk
@@ -196,6 +197,12 @@ ORACLES["registry_rows"] = f"""
 # --- incremental work ------------------------------------------------------
 
 
+def registry_rows(rows):
+    """Rows with the columns of the log; what they lack is NULL."""
+    fields = [f for f in schemas.REGISTRY.fields if f.name != "batch_seq"]
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def _judged_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     done = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id")
