@@ -14,8 +14,8 @@ PREDICTED = "docref string, date string, year int, outcome string, n_judges int,
 def predictions(spark):
     return spark.createDataFrame(
         [
-            ("1C_1/2020", "2020-01-01", 2020, "rejected", 3, "a", "raw/a.html"),
-            ("1C_2/2020", "2020-01-02", 2020, "granted", 1, "b", "raw/b.html"),
+            ("7B_31/2019", "2019-03-04", 2019, "rejected", 3, "a", "raw/a.html"),
+            ("7B_32/2019", "2019-03-05", 2019, "granted", 1, "b", "raw/b.html"),
         ],
         PREDICTED,
     )
@@ -23,7 +23,7 @@ def predictions(spark):
 
 def truth(spark):
     return spark.createDataFrame(
-        [(1, "1C_1/2020", "2020-01-01", 2020.0, "granted", 3.0)],
+        [(1, "7B_31/2019", "2019-03-04", 2019.0, "granted", 3.0)],
         "`Unnamed: 0` int, docref string, date string, year double, outcome string, n_judges double",
     )
 
@@ -32,14 +32,14 @@ def truth(spark):
 def test_three_results(spark, materialise):
     result = cp.compare_frames(predictions(spark), truth(spark), materialise=materialise)
     wide = {r["docref"]: r for r in result.comparison.collect()}
-    first, second = wide["1C_1/2020"], wide["1C_2/2020"]
+    first, second = wide["7B_31/2019"], wide["7B_32/2019"]
     assert first["ground_truth_match_status"] == "matched"
     assert (first["outcome_mismatch"], first["year_mismatch"], first["n_judges_mismatch"]) == (True, False, False)
     assert first["n_mismatched_fields"] == 1
     assert second["ground_truth_match_status"] == "missing_ground_truth"
     assert second["outcome_mismatch"] is None and second["n_mismatched_fields"] == 0
     assert [tuple(r) for r in result.mismatches.collect()] == [
-        ("1C_1/2020", "2020-01-01", "outcome", "rejected", "granted", "a", "raw/a.html")
+        ("7B_31/2019", "2019-03-04", "outcome", "rejected", "granted", "a", "raw/a.html")
     ]
     summary = {r["field"]: r for r in result.summary.collect()}
     assert list(summary) == ["n_judges", "outcome", "year", "__missing_ground_truth__"]
@@ -49,7 +49,7 @@ def test_three_results(spark, materialise):
 
 
 def test_no_match_keeps_fields(spark):
-    result = cp.compare_frames(predictions(spark).where("docref like '%2/%'"), truth(spark), materialise=False)
+    result = cp.compare_frames(predictions(spark).where("docref like '%32/%'"), truth(spark), materialise=False)
     summary = {r["field"]: r for r in result.summary.collect()}
     assert summary["outcome"]["match_rate"] is None and summary["outcome"]["matched_rows"] == 0
 
@@ -77,9 +77,9 @@ def test_cell_equality_follows_kinds(spark):
     assert equal(1, long, 1.0, double)
     assert equal("1", text, 1, long)
     assert equal(True, flag, "TRUE", text)
-    assert equal("  Public  ", text, "Public", text)
+    assert equal(" Penal\n", text, "Penal", text)
     assert equal("\xa01e2\t", text, 100, long)
-    assert not equal("Public", text, "public", text)
+    assert not equal("Penal", text, "penal", text)
     assert not equal(True, flag, 1, long)
     assert not equal("1d", text, 1, long)
 
@@ -103,7 +103,7 @@ def test_numbers_like_pandas(spark):
 
 def test_csv_run(spark, tmp_path):
     csv = tmp_path / "truth.csv"
-    csv.write_text(',docref,date,year,outcome\n1,1C_1/2020,2020-01-01,2020,granted\n2,1C_9/2020,2020-01-09,NA,"a ""b"", c"\n')
+    csv.write_text(',docref,date,year,outcome\n1,7B_31/2019,2019-03-04,2019,granted\n2,7B_39/2019,2019-03-09,NA,"a ""b"", c"\n')
     frame = records.read_truth_csv(spark, str(csv))
     assert frame.columns == ["docref", "date", "year", "outcome"]
     rows = frame.orderBy("docref").collect()

@@ -120,7 +120,7 @@ def test_limit_and_pending(spark):
 
 REPLY = {
     "area_detailed": "Vertragsrecht", "area_intermediate": "Obligationenrecht und Handelsrecht", "area_general": "Privatrecht",
-    "app_class": "legal", "resp_class": "natural", "outcome": "partly granted", "confidence": 0.7, "evidence": "short evidence",
+    "app_class": "natural", "resp_class": "legal", "outcome": "inadmissible", "confidence": 0.55, "evidence": "two words",
 }
 
 
@@ -133,8 +133,8 @@ def test_replies_fill_only_what_is_open(spark):
         [("0", json.dumps(REPLY)), ("1", json.dumps(REPLY)), ("2", '{"confidence": 2}')], "html_id string, reply string"
     )
     rows = {r["html_id"]: r for r in rp.merge_replies(coded, answers).collect()}
-    assert (rows["0"]["area_detailed"], rows["0"]["outcome"], rows["0"]["outcome_binary"]) == ("Vertragsrecht", "partly granted", True)
-    assert rows["0"]["confidence"]["area_detailed"] == 0.7 and rows["0"]["evidence"]["outcome"] == "short evidence"
+    assert (rows["0"]["area_detailed"], rows["0"]["outcome"], rows["0"]["outcome_binary"]) == ("Vertragsrecht", "inadmissible", False)
+    assert rows["0"]["confidence"]["area_detailed"] == 0.55 and rows["0"]["evidence"]["outcome"] == "two words"
     assert (rows["1"]["outcome"], rows["1"]["app_class"], rows["1"]["confidence"]) == ("rejected", "natural", {})
     assert rows["2"]["outcome"] is None
     assert rows["2"]["warnings"][-1] == "llm_failed:confidence is outside 0..1"
@@ -164,8 +164,8 @@ def test_extract_and_annotate_runs(spark, tmp_path):
     out = spark.read.parquet(table)
     assert out.columns == schemas.AGGREGATE.fieldNames()
     assert {(r["html_id"], r["date"], r["warnings"].split(";")[0]) for r in out.collect()} == {
-        ("one", "2007-01-19", "missing_docref"),
-        ("three", "2007-01-19", "missing_docref"),
+        ("one", "2012-10-05", "missing_docref"),
+        ("three", "2012-10-05", "missing_docref"),
     }
 
 

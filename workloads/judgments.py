@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gavelframe.functions import codebook as cb
 from gavelframe.session import use_all_cores
 
-NAMES = "Lustenberger,Borella,Seiler,Escher,Herrmann,Corboz,Merkli,Wurzburger,Müller,Keller"
+NAMES = "Aebischer,Zanetti,Kübler,Rochat,Bovet,Favrod,Soldati,Quadri,Bühler,Steiner"
 MONTHS = (
     "Januar,Februar,März,April,Mai,Juni,Juli,August,September,Oktober,November,Dezember",
     "janvier,février,mars,avril,mai,juin,juillet,août,septembre,octobre,novembre,décembre",
@@ -205,7 +205,7 @@ _LINES = {
         f"{judge(1)} || ', ' || {judge(2)} || ', ' || {judge(3)} || ' e ' || {judge(4)} || ','",
     )
     + " END",
-    "p09": f"CASE WHEN nj > 0 THEN {per_language(q('Gerichtsschreiberin Huber.'), q('Greffière : Mme Dolivo.'), q('Cancelliera Perroud.'))} END",
+    "p09": f"CASE WHEN nj > 0 THEN {per_language(q('Gerichtsschreiberin Loosli.'), q('Greffière : Mme Junod.'), q('Cancelliera Ferrari.'))} END",
     "p10": f"CASE WHEN has_parties THEN {per_language(q('Parteien'), q('Parties'), q('Parti'))} END",
     "p11": f"CASE WHEN has_parties THEN {_APPELLANT} END",
     "p12": f"CASE WHEN has_parties AND al = 1 THEN {_LAWYER} END",
@@ -218,8 +218,8 @@ _LINES = {
     "p19": per_language(q("Sachverhalt:"), q("Faits:"), q("Fatti:")),
     # Enough lines that the citations lie beyond the head that the rules look at.
     **{f"p20{x}": f"'Die Parteien streiten um Sache ' || CAST(k + {i} AS VARCHAR(20)) || '.'" for i, x in enumerate("abcdefghi")},
-    "p21": "CASE nc WHEN 1 THEN 'Vgl. 1P.639/2004; BGE 133 IV 286.' WHEN 2 THEN 'Vgl. 1P.639/2004, 4A.23/2008; BGE 133 IV 286; ATF 134  I 83.'"
-    " WHEN 3 THEN 'Vgl. 1P.639/2004, 4A.23/2008, 2C_889/2010; BGE 133 IV 286; ATF 134  I 83, DTF 120 II 5.' END",
+    "p21": "CASE nc WHEN 1 THEN 'Vgl. 6P.12/2005; BGE 129 II 44.' WHEN 2 THEN 'Vgl. 6P.12/2005, 7A.8/2006; BGE 129 II 44; ATF 138  III 7.'"
+    " WHEN 3 THEN 'Vgl. 6P.12/2005, 7A.8/2006, 9C_71/2012; BGE 129 II 44; ATF 138  III 7, DTF 120 II 5.' END",
     "p22": f"CASE WHEN has_marker THEN {per_language(q('Demnach erkennt das Bundesgericht:'), q('Par ces motifs, le Tribunal fédéral prononce:'), q('Per questi motivi, il Tribunale federale pronuncia:'))} END",
     "p23": "'1.'",
     "p24": per_language(
@@ -329,10 +329,10 @@ EXPECTED = {
     "outcome": by_code("oc", [*OUTCOMES, None]),
     "outcome_binary": "CASE WHEN oc IN (0, 2) THEN TRUE WHEN oc IN (1, 3) THEN FALSE END",
     "cited_bger": f"nullif(concat_ws(';', CASE WHEN has_head THEN {_OWN_IN_TEXT} WHEN has_registry THEN own_ref END, "
-    "CASE WHEN is_merged THEN other_ref END, CASE WHEN nc > 0 THEN '1P.639/2004' END, CASE WHEN nc > 1 THEN '4A.23/2008' END, "
-    "CASE WHEN nc > 2 THEN '2C_889/2010' END), '')",
+    "CASE WHEN is_merged THEN other_ref END, CASE WHEN nc > 0 THEN '6P.12/2005' END, CASE WHEN nc > 1 THEN '7A.8/2006' END, "
+    "CASE WHEN nc > 2 THEN '9C_71/2012' END), '')",
     "n_cited_bger": "CAST(nc + CASE WHEN has_head OR has_registry THEN 1 ELSE 0 END + CASE WHEN is_merged THEN 1 ELSE 0 END AS BIGINT)",
-    "cited_bge": f"nullif(concat_ws(';', {_LEAD}, CASE WHEN nc > 0 THEN '133 IV 286' END, CASE WHEN nc > 1 THEN '134 I 83' END, "
+    "cited_bge": f"nullif(concat_ws(';', {_LEAD}, CASE WHEN nc > 0 THEN '129 II 44' END, CASE WHEN nc > 1 THEN '138 III 7' END, "
     "CASE WHEN nc > 2 THEN '120 II 5' END), '')",
     "n_cited_bge": "CAST(nc + CASE WHEN has_lead THEN 1 ELSE 0 END AS BIGINT)",
     "leading_case": _LEAD,
