@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gavelframe.llm.common import SPACE_WORD, packed
-from gavelframe.session import cut
+from gavelframe.session import cut, settle
 
 _SCALE = 1_000_000_007
 _SOURCES, _LANGUAGES = 32, 8
@@ -47,7 +47,7 @@ def text_view(text: Column) -> dict[str, Column]:
         "t_lines": 10 * share(r"\n"),
         "t_word_length": chars / n_words / 10,
         "t_distinct": F.size(F.array_distinct("words")) / n_words,
-        "t_repeats": F.size(F.filter("words", lambda w, i: (i > 0) & (w == F.get(F.col("words"), i - 1)))) / n_words,
+        "t_repeats": F.size(F.filter(F.zip_with("words", F.slice("words", 2, n_words), lambda a, b: a == b), lambda same: same)) / n_words,
         "t_length": F.log1p(n_words.cast("double")),
     }
 
@@ -188,10 +188,12 @@ def classify(
 
     odds = features.select("row", text.column(of_text).alias("text_odds"), metadata.column(of_metadata).alias("metadata_odds"))
     odds = odds.withColumn("odds", F.col("text_odds") + F.col("metadata_odds") - F.lit(prior))
+    # Settled, or a filter on the result would repeat the measures of the text within its own condition.
     chance = lambda c: 1 / (1 + F.exp(-F.least(F.greatest(F.col(c), F.lit(-50.0)), F.lit(50.0))))
-    return odds.select(
+    scored = odds.select(
         "row",
         chance("text_odds").alias("text_score"),
         chance("metadata_odds").alias("metadata_score"),
         chance("odds").alias("score"),
-    ).withColumn("kept", F.col("score") >= cutoff)
+    )
+    return settle(scored.withColumn("kept", F.col("score") >= cutoff))
