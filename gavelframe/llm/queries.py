@@ -25,6 +25,22 @@ def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("key")
 
 
+OP1_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) BETWEEN 1 AND 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common, any_value(a.n) AS na, any_value(b.n) AS nb
+      FROM e AS a JOIN e AS b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p WHERE common >= 0.8::DOUBLE * (na + nb - common) - 1e-9),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other),
+c AS (SELECT doc_id, min(other) AS class_id, count(*) AS class_size FROM r GROUP BY doc_id)
+SELECT doc_id, class_id, class_size, doc_id = class_id AS kept FROM c
+"""
+
+
 def op2_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("row.doc_id", "text_score", "metadata_score", "score", "kept")
@@ -51,6 +67,17 @@ def op5_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+OP5_SQL = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         list_reduce(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2]), lambda x, y: x + y) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def word_tokenizer() -> str:
     """Vocabulary file of the packing query, as the machines' tokenizer folder names it."""
     import public_tokenizers
@@ -136,8 +163,10 @@ QUERIES = {
     "op10_line_spread": op10_line_spread,
 }
 ORACLES = {
+    "op1_dart_minhash": OP1_SQL,
     "op3_exact_dedup": OP3_SQL,
     "op4_licence_scan": licences.oracle(lower=_LOWER),
+    "op5_vantage_trees": OP5_SQL,
     "op8_pareto_mixing": OP8_SQL,
     "op10_line_spread": OP10_SQL,
 }
