@@ -278,21 +278,34 @@ PROCEDURE_TYPES = {
 }
 
 # --- fixed values: month names --------------------------------------------
-MONTH_NAMES = {
-    1: ("januar", "janvier", "gennaio"),
-    2: ("februar", "février", "fevrier", "febbraio"),
-    3: ("märz", "maerz", "mars", "marzo"),
-    4: ("april", "avril", "aprile"),
-    5: ("mai", "maggio"),
-    6: ("juni", "juin", "giugno"),
-    7: ("juli", "juillet", "luglio"),
-    8: ("august", "août", "aout", "agosto"),
-    9: ("september", "septembre", "settembre"),
-    10: ("oktober", "octobre", "ottobre"),
-    11: ("november", "novembre"),
-    12: ("dezember", "décembre", "decembre", "dicembre"),
+MONTHS = {
+    "januar": 1, "janvier": 1, "gennaio": 1,
+    "februar": 2, "février": 2, "fevrier": 2, "febbraio": 2,
+    "märz": 3, "maerz": 3, "mars": 3, "marzo": 3,
+    "april": 4, "avril": 4, "aprile": 4,
+    "mai": 5, "maggio": 5,
+    "juni": 6, "juin": 6, "giugno": 6,
+    "juli": 7, "juillet": 7, "luglio": 7,
+    "august": 8, "août": 8, "aout": 8, "agosto": 8,
+    "september": 9, "septembre": 9, "settembre": 9,
+    "oktober": 10, "octobre": 10, "ottobre": 10,
+    "november": 11, "novembre": 11,
+    "dezember": 12, "décembre": 12, "decembre": 12, "dicembre": 12,
 }
 
+# --- fixed values: divisions by first digit of the docket, from the day of their name on ---
+DIVISIONS = {
+    "1": (("", "1. Public"),),
+    "2": (("", "2. Public"),),
+    "4": (("", "1. Civil"),),
+    "5": (("", "2. Civil"),),
+    "6": (("2023-07-01", "1. Criminal"), ("", "Criminal")),
+    "7": (("2023-07-01", "2. Criminal"), ("", "Criminal")),
+    "8": (("2023-01-01", "4. Public"), ("", "1. Social")),
+    "9": (("2023-01-01", "3. Public"), ("", "2. Social")),
+}
+DIVISION_TYPES = (("Civil", ("Civil",)), ("Criminal", ("Criminal",)), ("Public", ("Public", "Social")))
+
 # --- fixed values: source courts (federal first, then cantons in order) ---
 FEDERAL_SOURCE = "CH"
 FEDERAL_SOURCE_TERMS = (

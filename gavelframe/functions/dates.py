@@ -10,7 +10,6 @@ from gavelframe.functions import text as tx
 
 _NUMERIC = tx.at_word(r"\d", cb.NUMERIC_DATE_PATTERN)
 _TEXTUAL = tx.at_word(r"\d", cb.TEXT_DATE_PATTERN, tx.UNICODE_NOCASE)
-_MONTHS = {name: number for number, names in cb.MONTH_NAMES.items() for name in names}
 
 
 def _build(year: Column, month: Column, day: Column) -> Column:
@@ -35,7 +34,7 @@ def numeric_date(found: Column) -> Column:
 
 def textual_date(found: Column) -> Column:
     """``15. März 2007``, ``1er avril 2008``, ``13 settembre 2006``."""
-    month = tx.lookup(tx.casefold(F.regexp_extract(found, _TEXTUAL, 2)), _MONTHS)
+    month = tx.lookup(tx.casefold(F.regexp_extract(found, _TEXTUAL, 2)), cb.MONTHS)
     return _build(
         F.regexp_extract(found, _TEXTUAL, 3).try_cast("int"),
         month,

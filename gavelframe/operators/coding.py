@@ -87,24 +87,18 @@ def proc_type(ref: Column) -> Column:
 
 
 def division(ref: Column, date: Column) -> Column:
-    """Division by first digit; the social and criminal divisions were renamed in 2023."""
-    digit = tx.prefix(ref, 1)
-    social_over = F.coalesce(date >= "2023-01-01", F.lit(False))
-    criminal_split = F.coalesce(date >= "2023-07-01", F.lit(False))
-    return (
-        F.when(digit == "1", "1. Public")
-        .when(digit == "2", "2. Public")
-        .when(digit == "4", "1. Civil")
-        .when(digit == "5", "2. Civil")
-        .when(digit == "6", F.when(criminal_split, "1. Criminal").otherwise("Criminal"))
-        .when(digit == "7", F.when(criminal_split, "2. Criminal").otherwise("Criminal"))
-        .when(digit == "8", F.when(social_over, "4. Public").otherwise("1. Social"))
-        .when(digit == "9", F.when(social_over, "3. Public").otherwise("2. Social"))
-    )
+    """Division by first digit, under the name that it has on the date; the oldest name without a date."""
+    name = F.lit(None).cast("string")
+    for digit, names in cb.DIVISIONS.items():
+        then = F.lit(names[-1][1])
+        for since, label in reversed(names[:-1]):
+            then = F.when(date >= since, label).otherwise(then)
+        name = F.when(tx.prefix(ref, 1) == digit, then).otherwise(name)
+    return name
 
 
 def division_type(name: Column) -> Column:
-    return tx.first_hit(name, (("Civil", ("Civil",)), ("Criminal", ("Criminal",)), ("Public", ("Public", "Social"))))
+    return tx.first_hit(name, cb.DIVISION_TYPES)
 
 
 def _composition(paragraphs: Column, keys: Column, position: Column) -> Column:
