@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -24,6 +27,21 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Hand tables that are written inside to Python in batches of so many rows.
+
+    Documents can be long; the default batch of ten thousand of them is held
+    several times over by a task and its worker.
+    """
+    before = spark.conf.get(_BATCH_ROWS)
+    spark.conf.set(_BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_ROWS, before)
+
+
 def packed(docs: DataFrame, **columns: Column) -> DataFrame:
     """Whole rows as one struct `row` beside computed columns, so that no name can clash."""
     return docs.select(F.struct("*").alias("row"), *[column.alias(name) for name, column in columns.items()])

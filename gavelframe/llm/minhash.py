@@ -31,12 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gavelframe.llm.common import once, text_key
+from gavelframe.llm.common import once, small_batches, text_key
 from gavelframe.llm.components import components
 from gavelframe.llm.shingles import mix, shingle_sets
 from gavelframe.session import cut
 
-_ROWS_AT_ONCE = 1000
+_ROWS_AT_ONCE = 500
 _ROW_BITS = 33
 _SHORT_BUCKET = 32
 _BLOCK = 512
@@ -145,6 +145,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands: i
                     names=["row", "id", "key", "set_1", "set_2", "n", "shingles", "buckets"],
                 )
                 row += len(sets)
+            pa.default_memory_pool().release_unused()
 
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -266,7 +267,8 @@ def near_duplicates(
     others; repeated rows share a class. Other columns are not looked at. An
     empty table gives an empty result.
     """
-    signed = cut(signatures(docs, id_col, text_col, width, bands, rows), "near-signatures")
+    with small_batches(docs.sparkSession):
+        signed = cut(signatures(docs, id_col, text_col, width, bands, rows), "near-signatures")
     nodes = signed.where("n > 0").groupBy("set_1", "set_2").agg(F.min("row").alias("node"))
     nodes = cut(nodes, "near-nodes")
     whole = signed.select("row", "n", "buckets").join(nodes.select(F.col("node").alias("row")), "row", "left_semi")

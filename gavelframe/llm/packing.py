@@ -26,11 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gavelframe.llm.common import small_batches
 from gavelframe.llm.tokens import encoder
 from gavelframe.session import cut
 
 _ROWS_AT_ONCE = 2000
-_PIECES_AT_ONCE = 50_000
+_PIECES_AT_ONCE = 10_000
 
 
 def _encoded(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int) -> DataFrame:
@@ -55,6 +56,7 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id
                     names=["id", "ids", "doc_tokens", "part", "local_start"],
                 )
                 start += int(bounds[-1])
+            pa.default_memory_pool().release_unused()
 
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -106,7 +108,8 @@ def pack(
     Repeated and NULL ids are packed as documents of their own. Other columns
     are not looked at; an empty table gives an empty result.
     """
-    ids = cut(_encoded(docs, id_col, text_col, tokenizer, end_id), "packing-ids")
+    with small_batches(docs.sparkSession, _ROWS_AT_ONCE):
+        ids = cut(_encoded(docs, id_col, text_col, tokenizer, end_id), "packing-ids")
     totals = ids.groupBy("part").agg(F.sum("doc_tokens").alias("total"))
     running = F.sum("total").over(Window.orderBy("part"))
     bases = totals.select(F.col("part").alias("of_part"), (running - F.col("total")).alias("base"), running.alias("all_tokens"))
@@ -115,7 +118,8 @@ def pack(
         "id", "ids", "doc_tokens", (F.col("base") + F.col("local_start")).alias("place")
     )
     kind = docs.schema[id_col].dataType.simpleString()
-    pieces = placed.mapInPandas(*_pieces(window, kind))
+    with small_batches(docs.sparkSession):  # written, as a batch of long documents is held several times over
+        pieces = cut(placed.mapInPandas(*_pieces(window, kind)), "packing-pieces")
     total = bases.agg(F.max("all_tokens").alias("n")).head()["n"]
     length = F.least(F.lit(window), F.lit(total).cast("long") - F.col("sequence_id") * window)
     padded = F.when(F.bit_count("sequence_length") == 1, F.col("sequence_length")).otherwise(F.lit(window))
