@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_KNOWN_WORDS = 600_000
+_KNOWN_WORDS = 350_000
 _WORDS_AT_ONCE = 200
 _WORD_END = "</w>"
 _STOPS = ".,;:!?()|%$&*#"  # not letters, digits or apostrophes: one piece behind a word
@@ -21,8 +22,8 @@ class WordEncoder:
     Only for tokenizers that drop white space, never join across it, and mark
     the last token of a word: then the ids of a text are those of its words in
     turn. Words of letters, also with a stop behind, are encoded many at a time
-    and told apart by the mark; if the marks do not add up, one by one. Memory is bounded: beyond
-    `_KNOWN_WORDS`, new words are forgotten after the texts that held them.
+    and told apart by the mark; if the marks do not add up, one by one. Memory
+    is bounded: beyond `_KNOWN_WORDS`, new words are not kept.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,24 +55,18 @@ class WordEncoder:
             out.append((ids, np.diff(ends[pieces - 1 :: pieces], prepend=0)) if sound else self._encode_each(part))
         return np.concatenate([x for x, _ in out]), np.concatenate([n for _, n in out])
 
-    def _learn(self, words: list[str]) -> None:
-        plain, stopped, other = [], [], []
-        for word in words:
-            if word.isalpha():
-                plain.append(word)
-            elif word.rstrip(_STOPS).isalpha():
-                stopped.append(word)
-            else:
-                other.append(word)
-        ids, sizes, n_known = [self._ids], [self._sizes], len(self._sizes)
-        for group, pieces in ((plain, 1), (stopped, 2), (other, 0)):
+    def _encode_new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and their numbers, by kind of word, and the place of each word in `words`."""
+        kinds: tuple[list[int], list[int], list[int]] = ([], [], [])
+        for place, word in enumerate(words):
+            kinds[0 if word.isalpha() else 1 if word.rstrip(_STOPS).isalpha() else 2].append(place)
+        found = []
+        for pieces, places in zip((1, 2, 0), kinds, strict=True):
+            group = [words[place] for place in places]
             if group:
-                found = self._encode_joined(group, pieces) if pieces else self._encode_each(group)
-                self._known.update(zip(group, range(n_known, n_known + len(group)), strict=True))
-                ids.append(found[0])
-                sizes.append(found[1])
-                n_known += len(group)
-        self._ids, self._sizes = np.concatenate(ids), np.concatenate(sizes)
+                found.append(self._encode_joined(group, pieces) if pieces else self._encode_each(group))
+        ids, sizes = (np.concatenate(x) for x in zip(*found, strict=True))
+        return ids, sizes, np.array([place for places in kinds for place in places], np.int64)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, each text closed by `end_id`, and their numbers."""
@@ -80,25 +75,25 @@ class WordEncoder:
         coded = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
         offsets -= offsets[0]
         distinct = coded.dictionary.to_pylist()
-        before, n_ids = len(self._sizes), len(self._ids)
-        new = [w for w in distinct if w not in self._known]
-        if new:
-            self._learn(new)
-        word = np.fromiter(map(self._known.__getitem__, distinct), np.int64, len(distinct))
+        code = np.fromiter(map(self._known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        ids, sizes = self._ids, self._sizes
+        missing = np.flatnonzero(code < 0)
+        if len(missing):
+            new = [distinct[k] for k in missing.tolist()]
+            new_ids, new_sizes, places = self._encode_new(new)
+            code[missing[places]] = len(sizes) + np.arange(len(new))
+            ids, sizes = np.concatenate([ids, new_ids]), np.concatenate([sizes, new_sizes])
+            if len(self._known) + len(new) <= _KNOWN_WORDS:
+                self._known.update(zip((new[k] for k in places.tolist()), range(len(self._sizes), len(sizes)), strict=True))
+                self._ids, self._sizes = ids, sizes
         # The end is a word of one id, after the known ones.
-        flat = np.append(self._ids, np.uint32(end_id))
-        sizes = np.append(self._sizes, 1)
+        flat, sizes = np.append(ids, np.uint32(end_id)), np.append(sizes, 1)
         starts = np.cumsum(sizes) - sizes
-        word = np.insert(word[coded.indices.to_numpy()], offsets[1:], len(sizes) - 1)
+        word = np.insert(code[coded.indices.to_numpy()], offsets[1:], len(sizes) - 1)
         n = sizes[word]
         place = np.concatenate([[0], np.cumsum(n)])
         out = flat[np.arange(place[-1]) + np.repeat(starts[word] - place[:-1], n)]
-        counts = np.diff(place[offsets + np.arange(len(offsets))])
-        if len(self._known) > _KNOWN_WORDS:
-            for w in new:
-                del self._known[w]
-            self._ids, self._sizes = self._ids[:n_ids], self._sizes[:before]
-        return out, counts
+        return out, np.diff(place[offsets + np.arange(len(offsets))])
 
 
 @cache
