@@ -22,6 +22,8 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "128m",
+    # The JIT compiles no method beyond 8000 bytes; longer stages run as separate, compiled projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,12 +138,17 @@ ORACLES["scan_registry"] = f"""
 
 
 def registry_malformed(spark, sf_dir):
-    """Number of malformed lines by exact line number in single-file order."""
+    """Malformed lines of a log in four files; their numbers, put after those of the earlier files, are the rows' places."""
     folder = fresh_folder(spark, "registry-bad")
     rows = rq.log(spark, sf_dir)
     line = F.when(F.col("status") == "error", F.lit("not json")).otherwise(F.to_json(F.struct("docid", "line_no")))
-    rows.orderBy("line_no").coalesce(1).select(line.alias("value")).write.text(folder)
-    return records.malformed_lines(spark, folder).select("line_number", "value")
+    parts = rows.repartitionByRange(4, "line_no").sortWithinPartitions("line_no")
+    parts.select(line.alias("value")).write.text(folder)
+    lengths = spark.read.text(folder).groupBy(F.col("_metadata.file_path").alias("file")).count()
+    earlier = F.sum("count").over(Window.orderBy("file")) - F.col("count")  # one row per file
+    number = F.col("line_number") + F.col("earlier")
+    bad = records.malformed_lines(spark, folder).join(lengths.withColumn("earlier", earlier), "file")
+    return bad.select(number.alias("line_number"), "value")
 
 
 QUERIES["registry_malformed"] = registry_malformed
