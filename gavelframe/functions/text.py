@@ -7,7 +7,7 @@ scripts, ``(?d)`` keeps ``.`` away from ``\\n`` only.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -152,11 +152,6 @@ def take_until(arr: Column, stops: Column) -> Column:
     return F.when(position == 0, arr).otherwise(F.slice(arr, 1, F.greatest(position - 1, F.lit(0))))
 
 
-def first_where(arr: Column, make: Callable[[Column], Column]) -> Column:
-    """First non-NULL result of ``make`` over the elements."""
-    return F.get(F.filter(F.transform(arr, make), lambda x: x.isNotNull()), 0)
-
-
 def first_match(arr: Column, pattern: str, group: int = 1) -> Column:
     """First regex group over the elements, for patterns that hold no white space.
 
