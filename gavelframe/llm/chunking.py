@@ -2,13 +2,14 @@
 
 A gear hash rolls over the last 16 bytes of each text; where its upper bits fall
 below a threshold, a chunk may end. Ends depend on nearby bytes only, so text
-inserted elsewhere moves no chunk of a shared passage. Chunks are known by a
-64-bit digest and their length. A digest found in more than one document is
-repeated; consecutive repeated chunks of a document form a run, and runs of
-enough bytes are reported. A false run would need clashes of several chunks in
-a row.
-
-Texts stay where they are: chunks are written as narrow rows, one aggregate
+inserted elsewhere moves no chunk of a shared passage. Consecutive chunks that
+together reach `min_bytes` form a group, known by a 64-bit digest over those of
+its chunks, and its bytes. There is a shortest group from each chunk on and a shortest
+one up to each chunk; together they cover every chunk of a shared row of chunks
+that is long enough. A group found in more than one document is a passage that
+one other document holds as a whole; overlapping or adjoining ones form a run.
+
+Texts stay where they are: groups are written as narrow rows, one aggregate
 finds the repeated digests (a hot one is combined within each task first), and
 the join back moves digests and places only.
 """
@@ -76,7 +77,7 @@ def chunk_ends(data: np.ndarray, starts: np.ndarray, mean: int, gap: int, longes
     return np.union1d(ends, np.array(more, np.int64)) if more else ends
 
 
-def _chunker(mean: int, gap: int, longest: int):
+def _grouper(min_bytes: int, mean: int, gap: int, longest: int):
     def slices(ids: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes]]]:
         a, size = 0, 0
         for b, text in enumerate(texts):
@@ -101,18 +102,23 @@ def _chunker(mean: int, gap: int, longest: int):
                 ends = chunk_ends(np.frombuffer(joined, np.uint8), starts, mean, gap, longest)
                 begins = np.concatenate([[0], ends[:-1]])
                 owner = np.searchsorted(starts, begins, side="right") - 1
-                digest = np.fromiter(
+                first, last = _groups(begins, ends, owner, min_bytes)
+                own = np.fromiter(
                     (xxhash.xxh64_intdigest(joined[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)), np.uint64, len(ends)
-                )
+                ).tobytes()
+                spans = zip((8 * first).tolist(), (8 * last + 8).tolist(), strict=True)
+                digest = np.fromiter((xxhash.xxh64_intdigest(own[a:b]) for a, b in spans), np.uint64, len(first))
+                owner = owner[first]
                 number = np.flatnonzero(full)[owner]
-                nth = np.arange(len(ends)) - np.searchsorted(owner, owner, side="left")
+                lead = np.searchsorted(begins, starts)[owner]
                 yield pd.DataFrame(
                     {
                         "id": pd.Series(ids, dtype=batch["id"].dtype).take(number).to_numpy(),
                         "row": first_row + number,
-                        "nth": nth.astype(np.int32),
-                        "start": begins - starts[owner],
-                        "length": (ends - begins).astype(np.int32),
+                        "first": (first - lead).astype(np.int32),
+                        "last": (last - lead).astype(np.int32),
+                        "start": begins[first] - starts[owner],
+                        "length": ends[last] - begins[first],
                         "digest": digest.view(np.int64),
                     }
                 )
@@ -120,43 +126,66 @@ def _chunker(mean: int, gap: int, longest: int):
     return run
 
 
-def chunks(docs: DataFrame, id_col: str, text_col: str, mean: int = 20, gap: int = 8, longest: int = 1024) -> DataFrame:
-    """One row per chunk: id, row (a number of the input row), nth, start and length in bytes, digest."""
+def _groups(begins: np.ndarray, ends: np.ndarray, owner: np.ndarray, min_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last chunk of each group: the shortest from each chunk on and up to each chunk, within one document."""
+    n = len(ends)
+    each = np.arange(n)
+    last = np.searchsorted(ends, begins + min_bytes)
+    first = np.searchsorted(begins, ends - min_bytes, side="right") - 1
+    pairs = np.concatenate([np.stack([each, last]), np.stack([first, each])], axis=1)
+    pairs = pairs[:, (pairs[0] >= 0) & (pairs[1] < n)]
+    pairs = pairs[:, owner[pairs[0]] == owner[pairs[1]]]
+    return np.divmod(np.unique(pairs[0] * n + pairs[1]), n)
+
+
+def groups(
+    docs: DataFrame, id_col: str, text_col: str, min_bytes: int, mean: int = 20, gap: int = 8, longest: int = 1024
+) -> DataFrame:
+    """One row per group: id, row (a number of the input row), first and last chunk, start and length in bytes, digest."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return rows.mapInPandas(
-        _chunker(mean, gap, longest), f"id {kind}, row long, nth int, start long, length int, digest long"
+        _grouper(min_bytes, mean, gap, longest), f"id {kind}, row long, first int, last int, start long, length long, digest long"
     )
 
 
 def repeated_runs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 128, **chunking: int
 ) -> DataFrame:
-    """One row per run of chunks that other rows of the table also hold.
+    """One row per run of chunks in passages of at least `min_bytes` that another row of the table also holds.
 
     Columns: id, start_byte, n_bytes, n_chunks, first_id (smallest id among the
-    holders of its chunks), repeat_bytes (bytes whose first holder has another
+    holders of its passages), repeat_bytes (bytes whose first holder has another
     id: what removing repeats takes away). Documents without such a run give no
     row; NULL and empty texts have none. Repetition within one row is not
     counted. Rows with equal or NULL ids are separate documents; a NULL id
     comes after all others as holder. Other columns are not looked at.
     """
-    found = cut(chunks(docs, id_col, text_col, **chunking), "chunks")
+    found = cut(groups(docs, id_col, text_col, min_bytes, **chunking), "chunk-groups")
     held = found.groupBy("digest", "length").agg(
         F.min("row").alias("first_row"), F.max("row").alias("last_row"), F.min("id").alias("first_id")
     )
     # Written, so that the join deals both sides anew and can split a hot digest.
-    repeated = cut(held.where("first_row < last_row").select("digest", "length", "first_id"), "repeated-chunks")
-    marked = found.join(repeated, ["digest", "length"])
-    in_order = Window.partitionBy("row").orderBy("nth")
-    islands = marked.withColumn("island", F.col("nth") - F.row_number().over(in_order))
+    repeated = cut(held.where("first_row < last_row").select("digest", "length", "first_id"), "repeated-groups")
+    stop = F.col("start") + F.col("length")
     other = ~F.col("id").eqNullSafe(F.col("first_id"))
+    marked = found.join(repeated, ["digest", "length"]).select(
+        "id", "row", "first", "last", "start", stop.alias("stop"), "first_id", F.when(other, stop).alias("other_stop")
+    )
+    in_order = Window.partitionBy("row").orderBy("first", "last")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    # A group that starts behind all before it, and not right behind them, opens a run.
+    opens = F.coalesce(F.col("first") > F.max("last").over(before) + 1, F.lit(True))
+    seen = F.greatest("start", F.coalesce(F.max("other_stop").over(before), F.lit(0)))
+    again = F.greatest(F.coalesce(F.col("other_stop") - seen, F.lit(0)), F.lit(0))
+    steps = marked.withColumns({"opens": opens.cast("int"), "again": again})
+    islands = steps.withColumn("island", F.sum("opens").over(in_order))
     runs = islands.groupBy("row", "island").agg(
         F.first("id").alias(id_col),
         F.min("start").alias("start_byte"),
-        F.sum("length").alias("n_bytes"),
-        F.count(F.lit(1)).alias("n_chunks"),
+        (F.max("stop") - F.min("start")).alias("n_bytes"),
+        (F.max("last") - F.min("first") + 1).cast("long").alias("n_chunks"),
         F.min("first_id").alias("first_id"),
-        F.sum(F.when(other, F.col("length")).otherwise(0)).alias("repeat_bytes"),
+        F.sum("again").alias("repeat_bytes"),
     )
-    return runs.where(F.col("n_bytes") >= min_bytes).drop("row", "island")
+    return runs.drop("row", "island")

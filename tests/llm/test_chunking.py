@@ -93,5 +93,22 @@ def test_planted_passages_are_found_and_nothing_else(spark):
     assert 203 not in flagged and 202 not in flagged
 
 
+def test_chunks_of_many_documents_make_no_passage(spark):
+    rng = random.Random(9)
+    text = prose(rng, 300)
+    data = text.encode()
+    ends = ends_of(text).tolist()
+    rows = [(0, text, None, 1)]
+    for a, b in zip([0, *ends], ends, strict=False):
+        if b - a <= 80:  # each chunk with what sets its start: less than 128 bytes in a row
+            piece = data[max(0, a - 40) : b].decode("utf-8", "ignore")
+            rows.append((len(rows), prose(rng, 30) + " " + piece + " " + prose(rng, 30), None, 1))
+    assert any(run.startswith("(0,") for run in brute(rows, 128))  # by single chunks, there would be a run
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert repeated_runs(docs).count() == 0
+    whole = repeated_runs(docs.union(spark.createDataFrame([(999, text[900:1400], None, 1)], SCHEMA)))
+    assert {r.doc_id for r in whole.collect() if r.n_bytes > 300} == {0, 999}
+
+
 def test_empty_table(spark):
     assert repeated_runs(spark.createDataFrame([], SCHEMA)).count() == 0
