@@ -1,17 +1,22 @@
 """Text probability by logistic context mixing, and a unigram baseline.
 
 The model predicts the bits of each byte from the bytes before it. For each of
-several context lengths, a hashed table of bounded size holds how often either
-bit followed; its estimates are mixed in the logistic domain by weights that
-are chosen by bit position and by how many contexts are known (the gate), and
-the result is refined by an adaptive probability map over the last byte. Tables
-are counted on all learning texts: each task adds up its own, and chunks of the
-tables are summed in two steps. Weights and map learn online from a bounded
-sample of learning windows, with each window's own count taken out.
-
-A byte's probability depends on a window of few bytes, so tasks evaluate each
-distinct window once and look the rest up. The tables go to the tasks as one
-broadcast of fixed size.
+several context lengths, the exact counts of either bit after a context give an
+estimate; these are mixed in the logistic domain by weights that are chosen by
+bit position and by how many contexts are known (the gate), and the result is
+refined by an adaptive probability map over the last byte.
+
+A byte's probability depends on a window of few bytes, and the counts of all
+distinct windows hold those of all contexts. Tasks cut their texts into units
+and write each unit's distinct windows, dealt into shards by the last three
+bytes before the predicted one. A shard thus holds every window of its longer
+contexts, and their number grows with the input; the contexts of one and two
+bytes have at most 2^24 windows, and are broadcast. Every distinct window is
+evaluated once, in its shard, and each unit gets the values of its own back.
+
+Weights and map learn online from all learnt windows, each with one occurrence
+taken out of its own count. Each task takes its shards in turn; what the tasks
+have learnt is averaged by the windows each cell has met, for a few rounds.
 
 The baseline needs the count of every token. Tokens that make up at least one
 part in `heavy_parts` of all are at most that many, and are broadcast; the rest
@@ -20,7 +25,7 @@ meet their counts by a join on the token, in which no key is large.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,8 +49,12 @@ _CHUNK = 4096
 _MOST = 2**31 - 1  # counters stay there
 _END_BYTE = 0xFF  # never part of UTF-8: ends a text, and stands before its first byte
 _SLICE_BYTES = 3_000_000
-_KNOWN_WINDOWS = 1_200_000
 _MERGE_AT = 2_500_000
+_UNIT_BYTES = 16_000_000
+_LOW = 2  # contexts up to here are broadcast, the others lie in shards
+_SHARDS = (64, 4096)
+_ROUNDS = 3
+_DOCS = 1 << 20  # stands for the shard of a text, behind all others
 _ROW_BITS = 33
 _END_TOKEN = "\n"  # no token holds white space
 _APM = np.linspace(-8, 8, 33)
@@ -94,55 +103,142 @@ def slots(window: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
     return out, ((byte >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
 
 
-def _add_counts(table: np.ndarray, window: np.ndarray, count: np.ndarray) -> None:
-    for bit in range(8):
-        at, value = slots(window, bit)
-        for k in range(len(ORDERS)):
-            own = table[2 * _STARTS[k] : 2 * (_STARTS[k] + _SIZES[k])]
-            own += np.bincount(2 * (at[k] - _STARTS[k]) + value, count, len(own)).astype(np.int64)
+def _packed(values: np.ndarray) -> bytes:
+    """Bytes of equal rank lie together, so that small values shrink."""
+    return pa.compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), "zstd", asbytes=True)
 
 
-def count_tables(texts: DataFrame) -> np.ndarray:
-    """(slots, 2): how often bit 0 and bit 1 followed in all of the column `text`."""
+def _unpacked(data: bytes, size: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    raw = pa.decompress(data, size * width, "zstd", asbytes=True)
+    return np.frombuffer(np.frombuffer(raw, np.uint8).reshape(width, -1).T.tobytes(), kind)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, held, size = np.zeros(2 * _SLOTS, np.int64), [], 0
+
+def _packed_windows(window: np.ndarray) -> bytes:
+    return _packed(np.diff(window, prepend=np.uint64(0)))
+
+
+def _unpacked_windows(data: bytes, size: int) -> np.ndarray:
+    return np.cumsum(_unpacked(data, size, np.uint64), dtype=np.uint64)
+
+
+def _summed(windows_and_counts: list) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct windows and the sums of their counts."""
+    codes, distinct = pd.factorize(np.concatenate([w for w, _ in windows_and_counts]))
+    n = np.bincount(codes, np.concatenate([n for _, n in windows_and_counts])).astype(np.int64)
+    order = np.argsort(distinct)
+    return distinct[order], n[order]
+
+
+def _units(shards: int, kind: str):
+    """Rows of the texts, and one row per unit and shard with the unit's distinct windows and how often they are learnt."""
+    names = ["unit", "shard", "row", "id", "learn", "text", "size", "w", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit = row = TaskContext.get().partitionId() << _ROW_BITS
+        held, fresh, seen = [], 0, 0
+
+        def closed(id_type: pa.DataType) -> pa.RecordBatch:
+            window, n = _summed(held)
+            shard = (mix((window >> np.uint64(8)) & np.uint64(0xFFFFFF)) % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            window, n = window[order], n[order]
+            used, first = np.unique(shard[order], return_index=True)
+            bounds = list(zip(first.tolist(), [*first[1:].tolist(), len(window)], strict=True))
+            k = len(used)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(k, unit)), pa.array(used.astype(np.int32)), pa.array(np.zeros(k, np.int64)), pa.nulls(k, id_type),
+                    pa.nulls(k, pa.bool_()), pa.nulls(k, pa.string()), pa.array([b - a for a, b in bounds], pa.int32()),
+                    pa.array([_packed_windows(window[a:b]) for a, b in bounds], pa.binary()), pa.array([_packed(n[a:b]) for a, b in bounds], pa.binary()),
+                ],
+                names=names,
+            )
+
+        id_type = None
         for batch in batches:
-            for _, part in _slices(batch.column("text")):
-                codes, distinct = pd.factorize(windows(part)[0])
-                held.append((distinct, np.bincount(codes)))
-                size += len(distinct)
-                if size > _MERGE_AT:
-                    held, size = _merged(table, held), 0
-        _merged(table, held)
-        chunks = table.reshape(-1, 2 * _CHUNK)
-        used = np.flatnonzero(chunks.any(1))
-        chunks = np.minimum(chunks, _MOST).astype(np.int32)
-        salt = TaskContext.get().partitionId() // 256
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)), pa.array(np.full(len(used), salt, np.int32)), pa.array([chunks[i].tobytes() for i in used], pa.binary())],
-            names=["chunk", "salt", "counts"],
-        )
+            id_type = batch.column("id").type
+            for a, part in _slices(batch.column("text")):
+                k, learn = len(part), batch.column("learn").slice(a, len(part))
+                key, bounds = windows(part)
+                codes, distinct = pd.factorize(key)
+                learnt = np.repeat(learn.to_numpy(zero_copy_only=False).astype(bool), np.diff(bounds))
+                held.append((distinct, np.bincount(codes, learnt).astype(np.int64)))
+                fresh, seen = fresh + len(distinct), seen + len(key)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(k, unit)), pa.array(np.full(k, _DOCS, np.int32)), pa.array(row + np.arange(k)), batch.column("id").slice(a, k),
+                        learn, part.cast(pa.string()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()),
+                    ],
+                    names=names,
+                )
+                row += k
+                if seen >= _UNIT_BYTES:
+                    yield closed(id_type)
+                    unit, held, fresh, seen = unit + 1, [], 0, 0
+                elif fresh > _MERGE_AT:
+                    held, fresh = [_summed(held)], 0
+        if held:
+            yield closed(id_type)
+
+    return run, f"unit long, shard int, row long, id {kind}, learn boolean, text string, size int, w binary, n binary"
+
+
+def count_windows(units: DataFrame) -> DataFrame:
+    """shard, size, w, n: all distinct windows of a shard and how often each is learnt."""
 
     def add_up(frame: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(c, np.int32).astype(np.int64) for c in frame["counts"])
-        total = np.minimum(total, _MOST).astype(np.int32)
-        return pd.DataFrame({"chunk": frame["chunk"].iloc[:1], "salt": frame["salt"].iloc[:1], "counts": [total.tobytes()]})
+        parts = [(_unpacked_windows(r.w, r.size_), _unpacked(r.n, r.size_, np.int64)) for r in frame.itertuples()]
+        window, n = _summed(parts)
+        return pd.DataFrame({"shard": frame["shard"].iloc[:1], "salt": frame["salt"].iloc[:1], "size_": [len(window)], "w": [_packed_windows(window)], "n": [_packed(n)]})
+
+    kind = "shard int, salt long, size_ int, w binary, n binary"
+    parts = units.select("shard", F.expr(f"shiftright(unit, {_ROW_BITS + 8})").alias("salt"), F.col("size").alias("size_"), "w", "n")
+    whole = parts.groupBy("shard", "salt").applyInPandas(add_up, kind).groupBy("shard").applyInPandas(add_up, kind)
+    return cut(whole.select("shard", F.col("size_").alias("size"), "w", "n"), "lm-windows")
+
+
+def _low_windows(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of the short contexts and their counts; at most 2^24 whatever the input."""
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for size, w, n in zip(*(batch.column(c).to_pylist() for c in ("size", "w", "n")), strict=True):
+                window, n = _summed([(_unpacked_windows(w, size) & np.uint64((1 << 8 * (_LOW + 1)) - 1), _unpacked(n, size, np.int64))])
+                yield pa.RecordBatch.from_arrays([pa.array(window.astype(np.int64)), pa.array(n)], names=["w", "n"])
+
+    low = counted.mapInArrow(shorten, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).where("n > 0").toPandas()
+    return low["w"].to_numpy(np.int64).astype(np.uint64), low["n"].to_numpy(np.int64)
+
+
+class Counts:
+    """Exact counts of either bit after the contexts of some lengths, from windows and their counts."""
 
-    kind = "chunk int, salt int, counts binary"
-    parts = texts.select("text").mapInArrow(count, kind)
-    whole = parts.groupBy("chunk", "salt").applyInPandas(add_up, kind).groupBy("chunk").applyInPandas(add_up, kind)
-    table = np.zeros((_SLOTS // _CHUNK, 2 * _CHUNK), np.int32)
-    for row in cut(whole, "lm-tables").toPandas().itertuples():
-        table[row.chunk] = np.frombuffer(row.counts, np.int32)
-    return table.reshape(-1, 2)
+    def __init__(self, window: np.ndarray, n: np.ndarray, orders: tuple[int, ...]) -> None:
+        self._tables = {}
+        for order in orders:
+            for bit in range(8):
+                key, value = self._key(window, order, bit)
+                keys, codes = np.unique(key, return_inverse=True)
+                self._tables[order, bit] = keys, np.bincount(2 * codes + value, n, 2 * len(keys)).reshape(-1, 2)
 
+    @staticmethod
+    def _key(window: np.ndarray, order: int, bit: int) -> tuple[np.ndarray, np.ndarray]:
+        byte = window & np.uint64(0xFF)
+        context = (window >> np.uint64(8)) & np.uint64((1 << (8 * order)) - 1)
+        node = (byte | np.uint64(0x100)) >> np.uint64(8 - bit)
+        return (context << np.uint64(9)) | node, ((byte >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
 
-def _merged(table: np.ndarray, held: list) -> list:
-    if held:
-        codes, distinct = pd.factorize(np.concatenate([w for w, _ in held]))
-        _add_counts(table, distinct, np.bincount(codes, np.concatenate([n for _, n in held])))
-    return []
+    def seen(self, window: np.ndarray, bit: int) -> np.ndarray:
+        """(orders x windows x 2)"""
+        out = []
+        for (order, own_bit), (keys, n) in self._tables.items():
+            if own_bit == bit:
+                key = self._key(window, order, bit)[0]
+                at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+                hit = keys[at] == key if len(keys) else np.zeros(len(key), bool)
+                out.append(np.where(hit[:, None], n[at] if len(keys) else 0.0, 0.0))
+        return np.array(out)
 
 
 def _stretch(n: np.ndarray) -> np.ndarray:
@@ -154,6 +250,9 @@ def _squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+Look = Callable[[np.ndarray, int], np.ndarray]
+
+
 @dataclass
 class Mixer:
     """Weights per bit position and number of known contexts, and the map that refines the mixed value per last byte."""
@@ -178,25 +277,46 @@ class Mixer:
         return np.clip((_squash(mixed) + refined) / 2, 1e-6, 1 - 1e-6), last, low, share
 
     def learn(self, table: np.ndarray, window: np.ndarray, count: np.ndarray, batch: int = 1024, epochs: int = 3) -> None:
-        """Online steps over the windows in the given order; each is predicted from the counts of all others."""
+        """Online steps with a table of hashed slots."""
+        look = lambda own, bit: table[slots(own, bit)[0]]
         for epoch in range(epochs):
-            rate = 0.05 / (1 + epoch)
-            for a in range(0, len(window), batch):
-                own, n = window[a : a + batch], count[a : a + batch].astype(float)
-                n = n / n.sum()
-                for bit in range(8):
-                    at, value = slots(own, bit)
-                    seen = table[at].astype(float)
-                    mine = (np.arange(len(ORDERS))[:, None], np.arange(len(own))[None, :], value[None, :])
-                    seen[mine] = np.maximum(seen[mine] - 1, 0)
-                    inputs, gate = np.clip(_stretch(seen), -8, 8), (seen.sum(2) > 0).sum(0)
-                    mixed = self.mixed(bit, inputs, gate)
-                    error = (value - _squash(mixed)) * n
-                    np.add.at(self.weights[bit], gate, rate * len(own) / 16 * (error * inputs).T)
-                    _, last, low, share = self.final(own, mixed)
-                    for cell, part in ((low, 1 - share), (low + 1, share)):
-                        np.add.at(self.refined, (last, cell), 0.02 * part * np.sqrt(n * len(own)).clip(max=4) * (value - self.refined[last, cell]))
-                    np.clip(self.refined, 1e-6, 1 - 1e-6, out=self.refined)
+            self.steps(look, window, count, 0.05 / (1 + epoch), batch)
+
+    def steps(self, look: Look, window: np.ndarray, count: np.ndarray, rate: float, batch: int = 1024, met: Mixer | None = None) -> None:
+        """Online steps over the windows in the given order; each is predicted from the counts of all others.
+
+        `met` adds up how many occurrences each weight row and cell of the map has met.
+        """
+        for a in range(0, len(window), batch):
+            own, n = window[a : a + batch], count[a : a + batch].astype(float)
+            times, n = n, n / n.sum()
+            for bit in range(8):
+                value = ((own >> np.uint64(7 - bit)) & np.uint64(1)).astype(np.int64)
+                seen = look(own, bit).astype(float)
+                mine = (np.arange(len(ORDERS))[:, None], np.arange(len(own))[None, :], value[None, :])
+                seen[mine] = np.maximum(seen[mine] - 1, 0)
+                inputs, gate = np.clip(_stretch(seen), -8, 8), (seen.sum(2) > 0).sum(0)
+                mixed = self.mixed(bit, inputs, gate)
+                error = (value - _squash(mixed)) * n
+                np.add.at(self.weights[bit], gate, rate * len(own) / 16 * (error * inputs).T)
+                _, last, low, share = self.final(own, mixed)
+                for cell, part in ((low, 1 - share), (low + 1, share)):
+                    np.add.at(self.refined, (last, cell), 0.02 * part * np.sqrt(n * len(own)).clip(max=4) * (value - self.refined[last, cell]))
+                    if met is not None:
+                        np.add.at(met.refined, (last, cell), part * times)
+                if met is not None:
+                    np.add.at(met.weights[bit], gate, times[:, None])
+                np.clip(self.refined, 1e-6, 1 - 1e-6, out=self.refined)
+
+    def log10_from(self, look: Look, window: np.ndarray) -> np.ndarray:
+        """log10 probability of the byte of each window, with the counts that `look` gives."""
+        total = np.zeros(len(window))
+        for bit in range(8):
+            value = (window >> np.uint64(7 - bit)) & np.uint64(1)
+            seen = look(window, bit)
+            p = self.final(window, self.mixed(bit, np.clip(_stretch(seen), -8, 8), (seen.sum(2) > 0).sum(0)))[0]
+            total += np.log10(np.where(value == 1, p, 1 - p))
+        return total
 
     def log10(self, stretched: np.ndarray, known: np.ndarray, window: np.ndarray) -> np.ndarray:
         """log10 probability of the byte of each window."""
@@ -209,23 +329,83 @@ class Mixer:
         return total
 
 
-def fit_mixer(texts: DataFrame, table: np.ndarray, max_windows: int) -> Mixer:
-    """`texts` is the bounded sample; at most `max_windows` of its distinct windows, chosen by hash, are learnt from."""
+def _look(low: Counts, high: Counts) -> Look:
+    return lambda window, bit: np.concatenate([low.seen(window, bit), high.seen(window, bit)])
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, part in _slices(batch.column("text")):
-                codes, distinct = pd.factorize(windows(part)[0])
-                yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(np.bincount(codes))], names=["w", "n"])
 
-    counted = texts.select("text").mapInArrow(spread, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    drawn = counted.orderBy(F.xxhash64("w"), "w").limit(max_windows).toPandas()
+def fit_mixer(counted: DataFrame, low: tuple, tasks: int) -> Mixer:
+    """Learns from all windows with a count; tasks are averaged by what each weight row and cell has met."""
     mixer = Mixer.fresh()
-    if len(drawn):
-        mixer.learn(table, drawn["w"].to_numpy(np.int64).view(np.uint64), drawn["n"].to_numpy())
+    dealt = cut(counted.repartition(tasks, "shard"), "lm-learn")
+    short, shape = counted.sparkSession.sparkContext.broadcast(low), mixer.weights.shape
+    for turn in range(_ROUNDS):
+        start, rate = mixer, 0.05 / (1 + turn)
+
+        def learn(batches: Iterator[pa.RecordBatch], start: Mixer = start, rate: float = rate) -> Iterator[pa.RecordBatch]:
+            own = Mixer(start.weights.copy(), start.refined.copy())
+            met = Mixer(np.zeros(shape), np.zeros(own.refined.shape))
+            few = Counts(*short.value, ORDERS[:_LOW])
+            for batch in batches:
+                for size, w, n in zip(*(batch.column(c).to_pylist() for c in ("size", "w", "n")), strict=True):
+                    window, n = _unpacked_windows(w, size), _unpacked(n, size, np.int64)
+                    look = _look(few, Counts(window, n, ORDERS[_LOW:]))
+                    real = np.flatnonzero(n > 0)
+                    real = real[np.argsort(mix(window[real]))]
+                    own.steps(look, window[real], n[real], rate, met=met)
+            flat = [np.concatenate([m.weights.ravel(), m.refined.ravel()]) for m in (own, met)]
+            at = np.flatnonzero(flat[1])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[0][at] * flat[1][at]), pa.array(flat[1][at])], names=["at", "x", "n"])
+
+        sums = dealt.mapInArrow(learn, "at long, x double, n double").groupBy("at").agg(F.sum("x").alias("x"), F.sum("n").alias("n")).toPandas()
+        flat = np.concatenate([mixer.weights.ravel(), mixer.refined.ravel()])
+        flat[sums["at"].to_numpy(np.int64)] = (sums["x"] / sums["n"]).to_numpy(float)
+        mixer = Mixer(flat[: mixer.weights.size].reshape(shape).copy(), flat[mixer.weights.size :].reshape(256, -1).copy())
     return mixer
 
 
+def evaluate(counted: DataFrame, low: tuple, mixer: Mixer) -> DataFrame:
+    """shard, size, w, p: log10 probability of each distinct window, written."""
+    held = counted.sparkSession.sparkContext.broadcast((low, mixer))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        short, own = held.value
+        few = Counts(*short, ORDERS[:_LOW])
+        for batch in batches:
+            for shard, size, w, n in zip(*(batch.column(c).to_pylist() for c in ("shard", "size", "w", "n")), strict=True):
+                window, n = _unpacked_windows(w, size), _unpacked(n, size, np.int64)
+                look = _look(few, Counts(window, n, ORDERS[_LOW:]))
+                p = np.concatenate([own.log10_from(look, window[a : a + 100_000]) for a in range(0, size, 100_000)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard], pa.int32()), pa.array([size], pa.int32()), pa.array([w], pa.binary()), pa.array([_packed(p.astype(np.float32))], pa.binary())],
+                    names=["shard", "size", "w", "p"],
+                )
+
+    return cut(counted.mapInArrow(run, "shard int, size int, w binary, p binary"), "lm-values")
+
+
+def look_up(asked: DataFrame, values: DataFrame) -> DataFrame:
+    """unit, shard, size, w, p: the values of each unit's windows. A shard's values come before what is asked of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        window = p = None
+        for batch in batches:
+            for unit, shard, size, w, own in zip(*(batch.column(c).to_pylist() for c in ("unit", "shard", "size", "w", "p")), strict=True):
+                if own is not None:
+                    window, p = _unpacked_windows(w, size), _unpacked(own, size, np.float32)
+                    continue
+                mine = _packed(p[np.searchsorted(window, _unpacked_windows(w, size))])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([unit]), pa.array([shard], pa.int32()), pa.array([size], pa.int32()), pa.array([w], pa.binary()), pa.array([mine], pa.binary())],
+                    names=["unit", "shard", "size", "w", "p"],
+                )
+
+    kind = "unit long, shard int, size int, w binary, p binary"
+    both = values.select(F.lit(-1).cast("long").alias("unit"), "shard", "size", "w", "p").unionByName(
+        asked.select("unit", "shard", "size", "w", F.lit(None).cast("binary").alias("p"))
+    )
+    return both.repartition("shard").sortWithinPartitions("shard", "unit").mapInArrow(run, kind)
+
+
 def _tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct words, the code of each word in turn, and the bounds of each text."""
     split = pc.ascii_split_whitespace(texts)
@@ -262,12 +442,53 @@ def _segment_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return running[bounds[1:]] - running[bounds[:-1]]
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Stretches of values or of texts of one unit."""
+    unit = batch.column("unit").to_numpy()
+    text = batch.column("shard").to_numpy() == _DOCS
+    bounds = [0, *(np.flatnonzero((np.diff(unit) != 0) | (text[1:] != text[:-1])) + 1).tolist(), len(unit)]
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
+def _scored(batch: pa.RecordBatch, held: dict, window: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Scored rows of texts; `window` (sorted) and `value` are those of their unit."""
+    for a, part in _slices(batch.column("text")):
+        words, codes, bounds = _tokens(part)
+        c = np.fromiter((held["heavy"].get(w, -1) for w in words.to_pylist()), np.int64, len(words))
+        own = c[codes]
+        logs = np.where(own >= 0, np.log10(np.maximum(own, 0) + 0.5), 0.0)
+        owner = np.repeat(np.arange(len(part)), np.diff(bounds))
+        rare = own < 0
+        pair, n = np.unique(owner[rare] * max(len(words), 1) + codes[rare], return_counts=True)
+        doc, code = np.divmod(pair, max(len(words), 1))
+        rows = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(part)))]).astype(np.int32)
+        tokens = pa.StructArray.from_arrays([words.take(pa.array(code)), pa.array(n)], names=["token", "n"])
+        key, spots = windows(part)
+        codes_w, distinct = pd.factorize(key)
+        logs10 = value[np.searchsorted(window, distinct)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("row").slice(a, len(part)),
+                batch.column("id").slice(a, len(part)),
+                batch.column("learn").slice(a, len(part)),
+                pa.array(np.diff(bounds) + 1),
+                pa.array(_segment_sums(own > 0, bounds).astype(np.int64) + (held["end"] > 0)),
+                pa.array(_segment_sums(logs, bounds) + np.log10(held["end"] + 0.5)),
+                pa.ListArray.from_arrays(pa.array(rows), tokens),
+                pa.array(_segment_sums(logs10[codes_w], spots)),
+                pa.array(np.diff(spots)),
+            ],
+            names=["row", "id", "learn", "n_tokens", "n_known", "logs", "rare", "score", "n_bytes"],
+        )
+
+
 def score_texts(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     heavy_parts: int = 500_000,
-    sample_docs: int = 1000,
     max_windows: int = 150_000,
 ) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
@@ -277,13 +498,13 @@ def score_texts(
     and is learnt from. `score` is the log10 probability of the lower-cased
     text's bytes and its end; `bits_per_byte` is the same per byte or end.
     Repeated rows count as often as they occur. Other columns are not looked
-    at. An empty table gives an empty result.
+    at. An empty table gives an empty result. A shard is cut for eight bytes of
+    text per `max_windows`, within bounds; a learning task takes about twice
+    as many distinct windows.
     """
     spark = docs.sparkSession
     out = held_out(F.col(id_col))
     texts = docs.select(F.col(id_col).alias("id"), ascii_lower(F.col(text_col)).alias("text"), (~out).alias("learn"))
-    learnt = texts.where("learn")
-
     counts = cut(count_tokens(texts), "lm-token-counts")
     totals = counts.agg(F.sum("c").alias("n"), F.sum("n_all").alias("n_all"), F.count_if(F.col("c") > 0).alias("v")).head()
     n_train, n_kinds = totals["n"] or 0, totals["v"]
@@ -291,58 +512,47 @@ def score_texts(
     heavy = counts.where((F.col("n_all") >= least) & (F.col("token") != _END_TOKEN)).select("token", "c").toPandas()
     end_count = counts.where(F.col("token") == _END_TOKEN).select("c").head()
 
-    table = count_tables(learnt)
-    rate = min(1.0, sample_docs / max(end_count["c"] if end_count else 1, 1))
-    chosen = F.pmod(F.xxhash64(F.lit("lm"), "id"), F.lit(1_000_003)) < rate * 1_000_003
-    mixer = fit_mixer(learnt.where(chosen), table, max_windows)
-    model = spark.sparkContext.broadcast(
-        {
-            "stretched": np.clip(_stretch(table.astype(np.float32)), -8, 8).astype(np.float32),
-            "known": table.any(1),
-            "mixer": mixer,
-            "heavy": dict(zip(heavy["token"], heavy["c"], strict=True)),
-            "end": int(end_count["c"]) if end_count else 0,
-        }
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    shards = int(np.clip(n_bytes // (8 * max_windows), *_SHARDS))
+    run, unit_kind = _units(shards, docs.schema[id_col].dataType.simpleString())
+    units = cut(texts.select("id", "learn", "text").mapInArrow(run, unit_kind), "lm-units")
+    asked, whole_texts = units.where(F.col("shard") < _DOCS), units.where(F.col("shard") == _DOCS)
+    counted = count_windows(asked)
+    low = _low_windows(counted)
+    n_windows = counted.agg(F.sum("size")).head()[0] or 0
+    values = evaluate(counted, low, fit_mixer(counted, low, max(2, n_windows // (2 * max_windows))))
+    answered = look_up(asked, values)
+    dealt = (
+        whole_texts.select("unit", "shard", "row", "id", "learn", "text", "size", "w", F.lit(None).cast("binary").alias("p"))
+        .unionByName(answered, allowMissingColumns=True)
+        .repartition("unit")
+        .sortWithinPartitions("unit", "shard", "row")
     )
+    tokens = {"heavy": dict(zip(heavy["token"], heavy["c"], strict=True)), "end": int(end_count["c"]) if end_count else 0}
+    model = spark.sparkContext.broadcast(tokens)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, row = model.value, TaskContext.get().partitionId() << _ROW_BITS
-        common, cache = held["heavy"], _Cache(held)
+        own, answers = None, []
         for batch in batches:
-            for a, part in _slices(batch.column("text")):
-                words, codes, bounds = _tokens(part)
-                c = np.fromiter((common.get(w, -1) for w in words.to_pylist()), np.int64, len(words))
-                own = c[codes]
-                logs = np.where(own >= 0, np.log10(np.maximum(own, 0) + 0.5), 0.0)
-                owner = np.repeat(np.arange(len(part)), np.diff(bounds))
-                rare = own < 0
-                pair, n = np.unique(owner[rare] * max(len(words), 1) + codes[rare], return_counts=True)
-                doc, code = np.divmod(pair, max(len(words), 1))
-                rows = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(part)))]).astype(np.int32)
-                tokens = pa.StructArray.from_arrays([words.take(pa.array(code)), pa.array(n)], names=["token", "n"])
-                key, spots = windows(part)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row + np.arange(len(part))),
-                        batch.column("id").slice(a, len(part)),
-                        batch.column("learn").slice(a, len(part)),
-                        pa.array(np.diff(bounds) + 1),
-                        pa.array(_segment_sums(own > 0, bounds).astype(np.int64) + (held["end"] > 0)),
-                        pa.array(_segment_sums(logs, bounds) + np.log10(held["end"] + 0.5)),
-                        pa.ListArray.from_arrays(pa.array(rows), tokens),
-                        pa.array(_segment_sums(cache.log10(key), spots)),
-                        pa.array(np.diff(spots)),
-                    ],
-                    names=["row", "id", "learn", "n_tokens", "n_known", "logs", "rare", "score", "n_bytes"],
-                )
-                row += len(part)
+            for part in _runs(batch):
+                if part.column("shard")[0].as_py() < _DOCS:
+                    if own is not None:
+                        own, answers = None, []
+                    columns = (part.column(c).to_pylist() for c in ("size", "w", "p"))
+                    answers += [(_unpacked_windows(w, n), _unpacked(p, n, np.float32)) for n, w, p in zip(*columns, strict=True)]
+                    continue
+                if own is None:
+                    window = np.concatenate([w for w, _ in answers])
+                    by = np.argsort(window)
+                    own, answers = (window[by], np.concatenate([p for _, p in answers])[by].astype(float)), []
+                yield from _scored(part, model.value, *own)
 
     kind = docs.schema[id_col].dataType.simpleString()
     columns = (
         f"row long, id {kind}, learn boolean, n_tokens long, n_known long, logs double, "
         "rare array<struct<token:string,n:long>>, score double, n_bytes long"
     )
-    scored = cut(texts.mapInArrow(score, columns), "lm-scored")
+    scored = cut(dealt.mapInArrow(score, columns), "lm-scored")
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n")
     known = rare.join(counts.select("token", "c"), "token").groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"),
@@ -360,33 +570,3 @@ def score_texts(
         "score",
         (-F.col("score") / float(np.log10(2)) / F.col("n_bytes")).alias("bits_per_byte"),
     )
-
-
-class _Cache:
-    """log10 of windows, each distinct one evaluated once while the memory for it lasts."""
-
-    def __init__(self, model: dict) -> None:
-        self._model = model
-        self._known, self._value = np.empty(0, np.uint64), np.empty(0)
-
-    def log10(self, window: np.ndarray) -> np.ndarray:
-        codes, distinct = pd.factorize(window)
-        order = np.argsort(distinct)
-        asked = distinct[order]
-        value = np.empty(len(asked))
-        at = np.searchsorted(self._known, asked)
-        hit = np.zeros(len(asked), bool)
-        inside = at < len(self._known)
-        hit[inside] = self._known[at[inside]] == asked[inside]
-        value[hit] = self._value[at[hit]]
-        model, new = self._model, asked[~hit]
-        for a in range(0, len(new), 100_000):
-            part = model["mixer"].log10(model["stretched"], model["known"], new[a : a + 100_000])
-            value[np.flatnonzero(~hit)[a : a + 100_000]] = part
-        if len(self._known) + len(new) <= _KNOWN_WINDOWS:
-            known = np.concatenate([self._known, new])
-            by = np.argsort(known, kind="stable")
-            self._known, self._value = known[by], np.concatenate([self._value, value[~hit]])[by]
-        out = np.empty(len(asked))
-        out[order] = value
-        return out[codes]

@@ -69,6 +69,28 @@ def test_bytes_after_a_context_sum_to_one():
     assert np.sum(10 ** mixer.log10(stretched, known, window)) == pytest.approx(1)
 
 
+def test_counts_are_exact_however_many_windows():
+    rng = np.random.default_rng(5)
+    drawn = np.unique(rng.integers(0, 2**48, 600_000).astype(np.uint64))
+    counts = cm.Counts(drawn, np.ones(len(drawn), int), (5,))
+    other = rng.integers(0, 2**48, 2000).astype(np.uint64)
+    other = other[~np.isin(other >> np.uint64(8), drawn >> np.uint64(8))]
+    for bit in (0, 7):
+        assert not counts.seen(other, bit).any()  # hashed slots would share those of others
+        assert (counts.seen(drawn[:2000], bit).sum(2) >= 1).all()
+
+
+def test_rare_last_bytes_are_learnt_from(spark):
+    rng = random.Random(13)
+    rows = [(i, prose(rng, 40), True) for i in range(3000)] + [(3000, "\u0436" * 40, True)]
+    run, kind = cm._units(64, "bigint")
+    units = spark.createDataFrame(rows, "id long, text string, learn boolean").repartition(4).select("id", "learn", "text").mapInArrow(run, kind)
+    counted = cm.count_windows(units.where(units.shard < cm._DOCS))
+    mixer = cm.fit_mixer(counted, cm._low_windows(counted), 2)
+    for byte in "\u0436".encode():
+        assert (mixer.refined[byte] != cm.Mixer.fresh().refined[byte]).any()
+
+
 def test_model_learns_held_out_text(spark):
     rng = random.Random(12)
     syllables = ["ka", "to", "mi", "ren", "lo", "sha", "vi", "dun"]
