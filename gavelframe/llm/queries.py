@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from gavelframe.llm import licences
 from gavelframe.llm.chunking import repeated_runs
-from gavelframe.llm.common import table
+from gavelframe.llm.common import ascii_lower, table
 from gavelframe.llm.context_mixing import score_texts
 from gavelframe.llm.cotraining import classify
 from gavelframe.llm.exact_dedup import exact_dedup
 from gavelframe.llm.line_dedup import remove_spread_lines
+from gavelframe.llm.merkle import manifest
 from gavelframe.llm.minhash import near_duplicates
 from gavelframe.llm.mixing import mix
 from gavelframe.llm.packing import pack
@@ -150,6 +151,65 @@ c AS (
 SELECT doc_id, n_lines, n_removed, length(clean_text) AS clean_chars, sha256(clean_text) AS clean_sha256 FROM c
 """
 
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.when(F.col("text").isNotNull(), ascii_lower(F.col("text")))
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = manifest(table(spark, sf_dir, "documents"), tampered={"text": text}, where=chosen)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _sealed_sql(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in fields) + ")"
+
+
+# Bits of the check sum, eight steps per digit: the digit, then seven times nothing.
+_CRC_SQL = """xor(4294967295, list_reduce(
+    flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+    lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(xor(c, b) >> 1, 3988292384) ELSE xor(c, b) >> 1 END,
+    4294967295::BIGINT))"""
+
+OP12_SQL = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {_sealed_sql("text")} AS leaf,
+         CASE WHEN {_CRC_SQL} % 5 = 0 THEN {_sealed_sql(f"CASE WHEN text IS NOT NULL THEN {_LOWER} END")} END AS forged
+  FROM documents),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n FROM l),
+up AS (
+  SELECT tree, 0 AS height, pos, leaf AS digest, n FROM p
+  UNION ALL
+  SELECT tree, height + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (n + 15) // 16
+  FROM up WHERE n > 1 GROUP BY tree, height, pos // 16, n),
+s AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+crown AS (
+  SELECT 0 AS height, pos, subroot AS digest, n FROM s
+  UNION ALL
+  SELECT height + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (n + 15) // 16
+  FROM crown WHERE n > 1 GROUP BY height, pos // 16, n),
+f AS (
+  SELECT tree, pos AS place, 0 AS height, pos, coalesce(forged, leaf) AS digest, '' AS proof, n FROM p
+  UNION ALL
+  SELECT f.tree, f.place, f.height + 1, f.pos // 16,
+         sha256(string_agg(CASE WHEN u.pos = f.pos THEN f.digest ELSE u.digest END, '' ORDER BY u.pos)),
+         f.proof || coalesce(string_agg(u.digest, '' ORDER BY u.pos) FILTER (u.pos <> f.pos), ''), (f.n + 15) // 16
+  FROM f JOIN up AS u ON u.tree = f.tree AND u.height = f.height AND u.pos // 16 = f.pos // 16
+  WHERE f.n > 1 GROUP BY f.tree, f.place, f.height, f.pos, f.proof, f.n),
+g AS (
+  SELECT f.tree, f.place, 0 AS height, s.pos, f.digest, f.proof, s.n FROM f JOIN s ON f.tree = s.tree WHERE f.n = 1
+  UNION ALL
+  SELECT g.tree, g.place, g.height + 1, g.pos // 16,
+         sha256(string_agg(CASE WHEN u.pos = g.pos THEN g.digest ELSE u.digest END, '' ORDER BY u.pos)),
+         g.proof || coalesce(string_agg(u.digest, '' ORDER BY u.pos) FILTER (u.pos <> g.pos), ''), (g.n + 15) // 16
+  FROM g JOIN crown AS u ON u.height = g.height AND u.pos // 16 = g.pos // 16
+  WHERE g.n > 1 GROUP BY g.tree, g.place, g.height, g.pos, g.proof, g.n),
+root AS (SELECT digest AS root FROM crown WHERE n = 1)
+SELECT p.doc_id, p.leaf, s.subroot, root.root, sha256(g.proof) AS proof_sha256, g.digest AS folded_root, g.digest = root.root AS verified
+FROM p JOIN s ON s.tree = p.tree JOIN g ON g.tree = p.tree AND g.place = p.pos AND g.n = 1 CROSS JOIN root
+"""
+
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
     "op2_cotraining": op2_cotraining,
@@ -161,6 +221,7 @@ QUERIES = {
     "op8_pareto_mixing": op8_pareto_mixing,
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_line_spread": op10_line_spread,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 ORACLES = {
     "op1_dart_minhash": OP1_SQL,
@@ -169,4 +230,5 @@ ORACLES = {
     "op5_vantage_trees": OP5_SQL,
     "op8_pareto_mixing": OP8_SQL,
     "op10_line_spread": OP10_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
