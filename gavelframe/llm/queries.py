@@ -16,6 +16,7 @@ from gavelframe.llm.merkle import manifest
 from gavelframe.llm.minhash import near_duplicates
 from gavelframe.llm.mixing import mix
 from gavelframe.llm.packing import pack
+from gavelframe.llm.sharding import assign
 from gavelframe.llm.vptree import nearest
 
 # DuckDB: text with only A-Z lower-cased.
@@ -152,6 +153,11 @@ SELECT doc_id, n_lines, n_removed, length(clean_text) AS clean_chars, sha256(cle
 """
 
 
+def op11_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    laws = {"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}
+    return assign(table(spark, sf_dir, "documents")).withColumns(laws)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("text").isNotNull(), ascii_lower(F.col("text")))
     chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -221,6 +227,7 @@ QUERIES = {
     "op8_pareto_mixing": op8_pareto_mixing,
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_line_spread": op10_line_spread,
+    "op11_best_fit_shards": op11_best_fit_shards,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 ORACLES = {
