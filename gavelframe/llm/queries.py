@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gavelframe.llm import licences
 from gavelframe.llm.chunking import repeated_runs
+from gavelframe.llm.collocations import collocations
 from gavelframe.llm.common import ascii_lower, table
 from gavelframe.llm.context_mixing import score_texts
 from gavelframe.llm.cotraining import classify
@@ -216,6 +217,37 @@ SELECT p.doc_id, p.leaf, s.subroot, root.root, sha256(g.proof) AS proof_sha256,
 FROM p JOIN s ON s.tree = p.tree JOIN g ON g.tree = p.tree AND g.place = p.pos AND g.n = 1 CROSS JOIN root
 """
 
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM pieces),
+t AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(words) - m + 2), lambda i: array_to_string(words[i:i + m - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(words) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY lang, m, phrase HAVING count(*) >= 30),
+q AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS words, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+h AS (SELECT lang, m, phrase, a, k, array_to_string(words[1:k], ' ') AS head, array_to_string(words[k + 1:], ' ') AS tail FROM q),
+c AS (
+  SELECT h.lang, h.m, h.phrase, h.a, h.k, x.a AS l, y.a AS r, ((2000000::HUGEINT * h.a) // (x.a + y.a))::BIGINT AS score
+  FROM h JOIN f AS x ON x.lang = h.lang AND x.phrase = h.head JOIN f AS y ON y.lang = h.lang AND y.phrase = h.tail),
+s AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (
+  SELECT lang, a, unnest(CASE m WHEN 3 THEN [words[1:2], words[2:3]]
+    ELSE [words[1:2], words[2:3], words[3:4], words[1:3], words[2:4]] END) AS part
+  FROM (SELECT lang, m, a, string_split(phrase, ' ') AS words FROM f WHERE m > 2)),
+b AS (SELECT lang, array_to_string(part, ' ') AS phrase, max(a) AS most FROM o GROUP BY 1, 2),
+alive AS (
+  SELECT s.* FROM s LEFT JOIN b ON b.lang = s.lang AND b.phrase = s.phrase WHERE b.most IS NULL OR 100 * b.most < 80 * s.a),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM alive)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score FROM r JOIN t ON t.lang = r.lang WHERE r.rank <= 2000
+"""
+
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
     "op2_cotraining": op2_cotraining,
@@ -229,6 +261,7 @@ QUERIES = {
     "op10_line_spread": op10_line_spread,
     "op11_best_fit_shards": op11_best_fit_shards,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 ORACLES = {
     "op1_dart_minhash": OP1_SQL,
@@ -238,4 +271,5 @@ ORACLES = {
     "op8_pareto_mixing": OP8_SQL,
     "op10_line_spread": OP10_SQL,
     "op12_merkle_manifest": OP12_SQL,
+    "op13_phrase_collocations": OP13_SQL,
 }
