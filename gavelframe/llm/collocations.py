@@ -18,7 +18,7 @@ of P, a being P's own count. This bound orders the work:
 
 A round holds at most `batch` phrases, so what tasks are given is bounded at
 any size; more rounds do the rest. Texts are encoded once: a row holds the
-words of some two megabytes of one language and the text as their numbers.
+words of some four megabytes of one language and the text as their numbers.
 """
 
 from __future__ import annotations
@@ -38,7 +38,9 @@ from gavelframe.session import cut
 _SCALE = 2_000_000
 _BREAKS = r"[.,;:!?\x0A-\x0D]"
 _BREAK = re.compile(_BREAKS)
-_SLICE_BYTES = 2 << 20
+_SLICE_BYTES = 4 << 20
+_SLICES_AT_ONCE = 2
+_ROWS_AT_ONCE = 100_000
 _ENCODED = "lang string, n_words long, words array<string>, codes array<int>"
 
 
@@ -123,7 +125,14 @@ def _count_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.concat_arrays([pa.nulls(len(n), pa.string()), words.take(pa.array(second - 1))]),
             pa.array(np.concatenate([n, times]), pa.int64()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names=["lang", "first", "second", "n"])
+        yield from _portioned(pa.RecordBatch.from_arrays(columns, names=["lang", "first", "second", "n"]))
+
+
+def _portioned(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in batches that neither side of the exchange holds much memory for."""
+    for k in range(0, len(rows), _ROWS_AT_ONCE):
+        yield rows.slice(k, _ROWS_AT_ONCE)
+    pa.default_memory_pool().release_unused()
 
 
 class _Sought:
@@ -199,7 +208,7 @@ def _count_longer(sought: dict[str, _Sought]) -> Callable[[Iterator[pa.RecordBat
                 words.take(pa.array(word - 1)),
                 pa.array(times, pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "before", "word", "n"])
+            yield from _portioned(pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "before", "word", "n"]))
 
     return count
 
@@ -284,8 +293,10 @@ def collocations(
     texts = encoded(docs, text_col, lang_col)
     totals = texts.groupBy("lang").agg(F.sum("n_words").alias("n"))
     short = texts.mapInArrow(_count_short, "lang string, first string, second string, n long")
-    short = short.groupBy("lang", "first", "second").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    short = cut(short, "phrases-short")
+    # Slices are summed up where they are read. What a task could still merge is little beside the pairs it would hold.
+    short = short.repartition("lang", "first", "second").groupBy("lang", "first", "second").agg(F.sum("n").alias("a"))
+    with small_batches(spark, _SLICES_AT_ONCE):
+        short = cut(short.where(F.col("a") >= least), "phrases-short")
     words = short.where("second IS NULL").select("lang", F.col("first").alias("phrase"), "a")
     pairs = short.where("second IS NOT NULL").select("lang", F.concat_ws(" ", "first", "second").alias("phrase"), "a")
     of_two = cut(_scored(pairs, {1: words}, 2), "phrases-pairs")
@@ -325,7 +336,8 @@ def collocations(
         more = more.groupBy("lang", "phrase", "before", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
         grown = F.when(F.col("before"), F.concat_ws(" ", "word", "phrase")).otherwise(F.concat_ws(" ", "phrase", "word"))
         more = more.select("lang", grown.alias("phrase"), "a").withColumn("m", F.size(F.split("phrase", " ")))
-        longer = cut(longer.unionByName(more).distinct(), "phrases-grown")
+        with small_batches(spark, _SLICES_AT_ONCE):
+            longer = cut(longer.unionByName(more).distinct(), "phrases-grown")
         done = pa.table({"lang": [x for x, _ in chosen], "phrase": [x for _, x in chosen]})
         expanded = cut(expanded.unionByName(spark.createDataFrame(done)), "phrases-expanded")
 
