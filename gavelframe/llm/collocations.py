@@ -41,6 +41,7 @@ _BREAK = re.compile(_BREAKS)
 _SLICE_BYTES = 4 << 20
 _SLICES_AT_ONCE = 2
 _ROWS_AT_ONCE = 100_000
+_PARTS = 32
 _ENCODED = "lang string, n_words long, words array<string>, codes array<int>"
 
 
@@ -263,8 +264,16 @@ def _scored(rows: DataFrame, counts: dict[int, DataFrame], m: int) -> DataFrame:
 
 
 def _top(rows: DataFrame, n: int, *order: Column) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    return rows.withColumn("rank", rank).where(F.col("rank") <= n)
+    """The first `n` rows of each language with their rank.
+
+    Parts of a language are reduced to `n` rows each before they meet, so the
+    last step has as many rows for a hot language whatever the corpus.
+    """
+    part = F.pmod(F.xxhash64("phrase"), F.lit(_PARTS))
+    for group in (["lang", part], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        rows = rows.withColumn("rank", rank).where(F.col("rank") <= n)
+    return rows
 
 
 def collocations(
