@@ -13,7 +13,7 @@ from gavelframe.functions import text as tx
 from gavelframe.session import spread_key
 from gavelframe.sources import pages, paths
 
-LOG_ORDER = ("batch_seq", "line_no", "scraped_at")
+LOG_ORDER = ("batch_seq", "file_name", "line_no", "scraped_at")
 
 
 def record_key(docid: Column, url: Column) -> Column:
@@ -25,7 +25,7 @@ def log_order(log: DataFrame, order: Sequence[str] = LOG_ORDER) -> Column:
     """Sortable position of a record; times are compared as times, not as text."""
     parts = []
     for name in (c for c in order if c in log.columns):
-        text = log.schema[name].dataType.simpleString() == "string"
+        text = name != "file_name" and log.schema[name].dataType.simpleString() == "string"
         parts.append((F.col(name).try_cast("timestamp") if text else F.col(name)).alias(name))
     if not parts:
         raise ValueError(f"the log has none of the order columns {list(order)}")
@@ -134,16 +134,25 @@ def _log_columns(rows: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
+def _of_decisions(decisions: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Decisions with their outcomes: by docid, or by URL where there is no docid. A decision that was planned twice counts once."""
+    one_each = _first_per_docid(decisions, ("decision_date", "search_page_path", "url"))
+    named = one_each.withColumn("_key", record_key(F.col("docid"), F.col("url")))
+    url = F.col("url") if "url" in outcomes.columns else F.lit(None).cast("string")
+    keyed = outcomes.withColumn("_key", record_key(F.col("docid"), url)).drop("docid", "url")
+    return named.join(keyed, "_key").drop("_key")
+
+
 def success_rows(decisions: DataFrame, results: DataFrame) -> DataFrame:
-    """Log rows of fetched decisions. ``results``: docid, status, http_status,
-    raw_html_path, content_hash, scraped_at."""
-    rows = decisions.join(results, "docid").withColumn("error_message", F.lit(None).cast("string"))
+    """Log rows of fetched decisions. ``results``: docid (and url, for decisions
+    without a docid), status, http_status, raw_html_path, content_hash, scraped_at."""
+    rows = _of_decisions(decisions, results).withColumn("error_message", F.lit(None).cast("string"))
     return _log_columns(rows.withColumn("decision_date", F.date_format("decision_date", "yyyy-MM-dd")))
 
 
 def error_rows(decisions: DataFrame, failures: DataFrame) -> DataFrame:
-    """Log rows of failed decisions. ``failures``: docid, message, scraped_at."""
-    rows = decisions.join(failures, "docid")
+    """Log rows of failed decisions. ``failures``: docid (and url), message, scraped_at."""
+    rows = _of_decisions(decisions, failures)
     nothing = {c: F.lit(None).cast("string") for c in ("http_status", "raw_html_path", "content_hash")}
     return _log_columns(
         rows.withColumns(

@@ -9,7 +9,7 @@ from gavelframe.functions import codebook as cb
 from gavelframe.operators import incremental as inc
 from gavelframe.operators import links as lk
 from gavelframe.operators import registry as rg
-from gavelframe.session import cut
+from gavelframe.session import cut, watched
 from gavelframe.sources import pages as pg
 from gavelframe.sources import paths, records
 
@@ -51,6 +51,7 @@ def plan_run(
     """Decisions to fetch, with their target path, and the counters of the plan."""
     decisions = discovered(pg.read_pages(spark, search_folder), base_url, start, end, max_pages_per_day)
     # Links are used twice, and their extraction is the costly part.
+    decisions, found = watched(decisions, n=F.count(F.lit(1)))
     decisions = cut(decisions, "decisions")
     index = rg.registry_index(records.read_registry(spark, registry_path))
     listing = pg.list_page_files(spark, judgment_folder)
@@ -58,8 +59,9 @@ def plan_run(
     target = paths.digest_path(judgment_folder, F.col("docid"), F.col("url"))
     page = pg.page_name_fields(F.col("search_page_path"))[1]
     ordered = inc.limit_pending(wanted, limit, "decision_date", page, "search_page_path", "url")
-    planned = cut(ordered.withColumn("target_path", target), "download-plan")
-    counted = {"discovered": decisions.count(), "planned": planned.count()}
+    ordered, chosen = watched(ordered.withColumn("target_path", target), n=F.count(F.lit(1)))
+    planned = cut(ordered, "download-plan")
+    counted = {"discovered": found("n"), "planned": chosen("n")}
     counters = spark.createDataFrame([counted], "discovered long, planned long")
     return planned, counters
 
@@ -76,10 +78,11 @@ def run_counts(counters: DataFrame, rows: DataFrame) -> dict[str, int]:
 
 
 def log_rows(decisions: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Registry rows for fetch outcomes: ``docid, status, ..., message``. Any other status is logged as an error."""
+    """Registry rows for fetch outcomes: ``docid (and url), status, ..., message``. Any other status is logged as an error."""
     fetched = F.coalesce(F.col("status").isin(*cb.DOWNLOADED_STATUSES), F.lit(False))
     good = outcomes.where(fetched).drop("message")
     odd = F.concat(F.lit("unexpected status: "), F.coalesce("status", F.lit("none")))
     message = F.coalesce("message", F.when(~rg.is_error(F.col("status")), odd))
-    bad = outcomes.where(~fetched).select("docid", message.alias("message"), "scraped_at")
+    names = [c for c in ("docid", "url") if c in outcomes.columns]
+    bad = outcomes.where(~fetched).select(*names, message.alias("message"), "scraped_at")
     return rg.success_rows(decisions, good).unionByName(rg.error_rows(decisions, bad))

@@ -81,3 +81,8 @@ ANNOTATION = T.StructType(
 )
 
 AGGREGATE = T.StructType(CODEBOOK.fields + _struct(**{c: _S for c in cb.AUDIT_COLUMNS}).fields)
+
+QUARANTINE = _struct(html_id=_S, raw_html_path=_S, error_message=_S)
+
+# Attempts at pages: what was read, when it was last changed, and what became of it.
+LEDGER = _struct(raw_html_path=_S, length=T.LongType(), modificationTime=T.TimestampType(), error_message=_S, attempted_at=T.TimestampType())

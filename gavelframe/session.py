@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -86,6 +86,16 @@ def passing_cuts(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def watched(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Callable[[str], int]]:
+    """The frame, and what gives a metric of it once a write of the frame is through, without a job of its own.
+
+    Watch what is written itself, not one side of a join: a side that the other
+    one makes needless is not run, nor counted.
+    """
+    seen = Observation()
+    return df.observe(seen, *[c.alias(name) for name, c in metrics.items()]), lambda name: seen.get[name]
+
+
 def use_all_cores(df: DataFrame) -> DataFrame:
     """Deal an input out evenly before costly text rules.
 

@@ -47,8 +47,7 @@ def extract_stream(
         .option("maxFilesPerTrigger", files_per_batch)
         .load(raw_folder)
     )
-    pages = files.select(F.col("path").alias("raw_html_path"), pg.decode_page(F.col("content")).alias("html"))
-    rows = ex.extract_pages(pages, layout)
+    rows = ex.extract_pages(pg.decoded(files.withColumnRenamed("path", "raw_html_path")), layout)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # One folder per batch, overwritten on a replay, so a retry adds nothing twice.

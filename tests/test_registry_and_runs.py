@@ -161,7 +161,7 @@ def test_extract_and_annotate_runs(spark, tmp_path):
     coded, table, failed = (str(tmp_path / n) for n in ("coded", "table", "failed"))
     assert annotation.run(spark, extracted, registry, coded, table, failed, limit=1) == {"processed": 1, "skipped": 0, "failed": 0}
     assert annotation.run(spark, extracted, registry, coded, table, failed) == {"processed": 1, "skipped": 1, "failed": 0}
-    out = spark.read.parquet(table)
+    out = records.read_aggregate(spark, table)
     assert out.columns == schemas.AGGREGATE.fieldNames()
     assert {(r["html_id"], r["date"], r["warnings"].split(";")[0]) for r in out.collect()} == {
         ("one", "2012-10-05", "missing_docref"),
@@ -195,3 +195,27 @@ def test_append_registry_round_trip(spark, tmp_path):
 
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark)
+
+
+def test_later_part_of_a_batch_wins(spark, tmp_path):
+    """Part files of one batch: the later part has the later record, though its lines begin anew."""
+    path = str(tmp_path / "log")
+    rows = [(f"d{k % 5}", f"s{k:03d}") for k in range(400)]
+    frame = spark.createDataFrame(rows, "docid string, status string").coalesce(1)
+    parts = frame.withColumn("k", F.substring("status", 2, 3).cast("int")).repartitionByRange(7, "k").sortWithinPartitions("k").drop("k")
+    sinks.append_registry(parts, path, 1)
+    index = rg.registry_index(records.read_registry(spark, path)).collect()
+    assert {r["record_key"]: r["status"] for r in index} == {f"d{k}": f"s{395 + k:03d}" for k in range(5)}
+
+
+def test_outcomes_meet_decisions_by_url_and_once(spark):
+    rows = [("a", "t", "u1", None, "s1", "bger", "de", "BGer"), ("a", "t", "u1", None, "s2", "bger", "de", "BGer"), (None, "t", "u2", None, "s", "bger", "de", "BGer"), ("", "t", "u3", None, "s", "bger", "de", "BGer")]
+    decisions = spark.createDataFrame(rows, DECISION)
+    from gavelframe.plans import discovery
+
+    outcomes = spark.createDataFrame(
+        [("a", None, "downloaded", 200, "p1", "h", "x", None), (None, "u2", "downloaded", 200, "p2", "h", "x", None), ("", "u3", "error", None, None, None, "x", "no")],
+        "docid string, url string, status string, http_status int, raw_html_path string, content_hash string, scraped_at string, message string",
+    )
+    logged = discovery.log_rows(decisions, outcomes).collect()
+    assert sorted((r["url"], r["status"], r["error_message"]) for r in logged) == [("u1", "downloaded", None), ("u2", "downloaded", None), ("u3", "error", "no")]

@@ -41,10 +41,10 @@ def test_quarantine_holds_each_page_once_and_lets_it_go(spark, tmp_path):
     out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
     for _ in range(3):
         extraction.run(spark, raw, out, bad)
-    assert spark.read.parquet(bad).count() == 1
+    assert records.read_quarantine(spark, bad).count() == 1
     write_pages(tmp_path / "raw", p2=BODY.format("heil"))
     extraction.run(spark, raw, out, bad)
-    assert spark.read.parquet(bad).count() == 0
+    assert records.read_quarantine(spark, bad).count() == 0
     assert texts(spark, out) == {"p1": "eins", "p2": "heil"}
 
 

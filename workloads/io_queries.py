@@ -8,14 +8,15 @@ from pyspark.sql import types as T
 
 from gavelframe import schemas
 from gavelframe.functions import codebook as cb
-from gavelframe.functions.html import COURT_LAYOUT
+from gavelframe.functions.html import ARTICLE_LAYOUT, COURT_LAYOUT
 from gavelframe.operators import coding
 from gavelframe.operators import comparison as cp
 from gavelframe.operators import extraction as ex
 from gavelframe.operators import incremental as inc
-from gavelframe.plans import annotation
-from gavelframe.session import fresh_folder, use_all_cores
-from gavelframe.sources import records, sinks
+from gavelframe.plans import annotation, comparison, extraction
+from gavelframe.session import cut, fresh_folder, use_all_cores
+from gavelframe.sources import pages as pg
+from gavelframe.sources import paths, records, sinks
 from workloads import comparison_queries as cq
 from workloads import page_queries as pq
 from workloads import registry_queries as rq
@@ -50,10 +51,11 @@ ORACLES["sink_extracted"] = f"SELECT html_id, right('0' || html_id, 2) AS shard,
 
 
 def scan_extracted(spark, sf_dir):
-    """JSON records, one document each line, read with the fixed schema."""
+    """JSON records, one document per file below folders of their own, through the reader."""
     folder = fresh_folder(spark, "extracted-json")
-    _extracted(spark, sf_dir).write.json(folder)
-    back = spark.read.schema(schemas.EXTRACTED).json(folder)
+    rows = _extracted(spark, sf_dir).withColumn("name", F.col("html_id"))
+    rows.repartition("name").write.partitionBy("name").json(folder)
+    back = records.read_extracted(spark, folder, "json")
     return widen(back.select("html_id", "paragraph_count", "char_count", F.array_join("paragraphs", "\n").alias("text")))
 
 
@@ -102,6 +104,100 @@ QUERIES["run_annotate_again"] = run_annotate_again
 ORACLES["run_annotate_again"] = f"SELECT *, true AS counted FROM ({expected_sql('docref', 'date', 'outcome', 'url')}) AS e"
 
 
+def _write_page_files(spark, pages, folder):
+    """A file for each page, in a folder named after the page's digest."""
+    named = pages.select(F.regexp_extract("raw_html_path", r"([0-9a-f]+)\.html", 1).alias("name"), F.col("html").alias("value"))
+    named.repartition("name").write.mode("append").partitionBy("name").text(folder)
+
+
+def run_extract_again(spark, sf_dir):
+    """Page files of even pages, then of all: the second run opens the new ones alone, a third one nothing."""
+    folder = fresh_folder(spark, "extract-runs")
+    raw, out, bad = (f"{folder}/{n}" for n in ("raw", "out", "bad"))
+    rows = pq.pages(spark, sf_dir).where("html IS NOT NULL")
+    where = {"layout": ARTICLE_LAYOUT, "suffix": ".txt"}
+    _write_page_files(spark, rows.where("page_id % 2 = 0"), raw)
+    first = extraction.run(spark, raw, out, bad, **where)
+    _write_page_files(spark, rows.where("page_id % 2 = 1"), raw)
+    second = extraction.run(spark, raw, out, bad, **where)
+    third = extraction.run(spark, raw, out, bad, **where)
+    total = first["processed"] + second["processed"]
+    told = [second["skipped"] == first["processed"], third == {"processed": 0, "skipped": total, "failed": 0}]
+    back = records.read_extracted(spark, out)
+    digest = F.regexp_replace(paths.shard(F.col("raw_html_path")), "^name=", "")
+    return widen(back.select(digest.alias("digest"), "text", "paragraph_count", F.lit(all(told)).alias("counted")))
+
+
+QUERIES["run_extract_again"] = run_extract_again
+ORACLES["run_extract_again"] = f"SELECT html_id AS digest, text, paragraph_count, true AS counted FROM ({pq.ORACLES['extract_record']}) AS e"
+
+
+def incremental_files(spark, sf_dir):
+    """Pending files of a folder, from its listing and what has an output: all pages but every third."""
+    folder = fresh_folder(spark, "incremental-files")
+    rows = pq.pages(spark, sf_dir)
+    _write_page_files(spark, rows, folder)
+    listing = pg.list_page_files(spark, folder, ".txt")
+    name = F.regexp_replace(paths.shard(F.col("raw_html_path")), "^name=", "")
+    third = rows.where("page_id % 3 = 0").select(F.regexp_extract("raw_html_path", r"([0-9a-f]+)\.html", 1).alias("name"))
+    done = listing.withColumn("name", name).join(third, "name", "left_semi").select("raw_html_path")
+    flagged = extraction.flag_done(listing, done, root=folder)
+    todo = cut(flagged.where("NOT _done"), "incremental-todo")
+    known = todo.agg(F.count(F.lit(1)).alias("n"), F.min("modificationTime").alias("oldest")).head()
+    files = extraction.read_pending(spark, folder, todo, known["n"], known["oldest"], ".txt")
+    html = F.regexp_replace(F.decode("content", "UTF-8"), "\n\\z", "")
+    return files.select(name.alias("digest"), F.sha2(html, 256).alias("content"))
+
+
+QUERIES["incremental_files"] = incremental_files
+ORACLES["incremental_files"] = """
+  SELECT substr(sha256(url), 1, 16) AS digest, sha256(html) AS content FROM pages WHERE page_id % 3 <> 0"""
+
+
+def run_compare(spark, sf_dir):
+    """Predictions and a reference CSV with line breaks in quotes, through the comparison run."""
+    folder = fresh_folder(spark, "compare-runs")
+    note = F.concat(F.col("note"), F.lit('\n"second" line'))
+    cq.predictions(spark, sf_dir).withColumn("note", note).write.parquet(f"{folder}/predicted")
+    truth = cq.truth(spark, sf_dir).withColumn("note", F.when(F.length("note") > 4, note).otherwise(F.col("note")))
+    truth.repartition(3).write.option("header", True).option("escape", '"').option("quoteAll", True).csv(f"{folder}/truth")
+    totals = comparison.run(spark, *[f"{folder}/{n}" for n in ("predicted", "truth", "rows", "cells", "summary")])
+    summary = spark.read.option("header", True).csv(f"{folder}/summary")
+    told = F.lit(totals["compared"]).cast("long").alias("compared")
+    return summary.select("field", *[F.col(c).cast("long").alias(c) for c in ("matched_rows", "mismatches", "missing_ground_truth")], told)
+
+
+QUERIES["run_compare"] = run_compare
+ORACLES["run_compare"] = f"""
+  SELECT field, matched_rows, mismatches, missing_ground_truth, (SELECT count(*) FROM orders) AS compared
+  FROM ({cq.ORACLES['compare_summary']}) AS s"""
+
+
+def import_annotations(spark, sf_dir):
+    """Earlier annotations kept as JSON, one document per file, some cut short: what can be read becomes table rows."""
+    folder = fresh_folder(spark, "json-annotations")
+    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    key = F.col("s_suppkey").cast("string")
+    record = F.to_json(
+        F.struct(
+            F.lit("v").alias("doi_version"), key.alias("html_id"), F.concat(F.lit("aa/"), key, F.lit(".html")).alias("raw_html_path"),
+            F.col("s_name").alias("docref"), F.col("s_nationkey").cast("int").alias("n_judges"),
+        )
+    )
+    text = F.when(F.col("s_nationkey") % 5 == 0, F.substring(record, 1, 20)).otherwise(record)
+    rows.select(key.alias("name"), text.alias("value")).repartition("name").write.partitionBy("name").text(f"{folder}/json")
+    told = annotation.import_json(spark, f"{folder}/json", f"{folder}/coded")
+    back = records.read_annotations(spark, f"{folder}/coded").select("html_id", "docref", "n_judges")
+    return widen(back.withColumn("unreadable", F.lit(told["unreadable"]).cast("long")))
+
+
+QUERIES["import_annotations"] = import_annotations
+ORACLES["import_annotations"] = """
+  SELECT CAST(s_suppkey AS VARCHAR) AS html_id, s_name AS docref, CAST(s_nationkey AS BIGINT) AS n_judges,
+    (SELECT count(*) FROM supplier WHERE s_nationkey % 5 = 0) AS unreadable
+  FROM supplier WHERE s_nationkey % 5 <> 0"""
+
+
 def aggregate_projection(spark, sf_dir):
     rows = coding.annotate(judgment_view(spark, sf_dir), keep=[*cb.CODEBOOK_COLUMNS, *cb.AUDIT_COLUMNS])
     return widen(sinks.aggregate_rows(rows))

@@ -111,24 +111,42 @@ ORACLES["path_mapping"] = f"""
     {_DIGEST} AS stem, substr({_DIGEST}, 1, 2) AS shard FROM pages"""
 
 
+# Text that each multi-byte charset can hold, as characters and as its bytes there.
+_FOREIGN = {"shift_jis": "cp932", "gbk": "gb18030", "big5": "big5hkscs", "euc-kr": "cp949"}
+_SAMPLES = {"shift_jis": "判決の理由", "gbk": "判决理由书", "big5": "判決理由書", "euc-kr": "판결 이유"}
+
+
 def decode_pages(spark, sf_dir):
-    """Pages as bytes in four encodings; decoding must give the text back."""
-    rows = pages(spark, sf_dir).withColumn("form", F.col("page_id") % 4)
+    """Pages as bytes in eight encodings; decoding must give the text back.
+
+    In the multi-byte ones, which this engine does not write, the ASCII part of a
+    page is followed by a sentence in their script.
+    """
+    rows = pages(spark, sf_dir).withColumn("form", F.col("page_id") % 8)
     latin = F.replace("html", F.lit('charset="utf-8"'), F.lit('charset="iso-8859-1"'))
     content = (
         F.when(F.col("form") == 0, F.encode(F.col("html"), "UTF-8"))
         .when(F.col("form") == 1, F.encode(F.col("html"), "ISO-8859-1"))
         .when(F.col("form") == 2, F.encode(latin, "ISO-8859-1"))
-        .otherwise(F.concat(F.unhex(F.lit("EFBBBF")), F.encode(F.col("html"), "UTF-8")))
+        .when(F.col("form") == 3, F.concat(F.unhex(F.lit("EFBBBF")), F.encode(F.col("html"), "UTF-8")))
     )
+    for k, (name, codec) in enumerate(_FOREIGN.items()):
+        ascii_only = F.regexp_replace(F.replace("html", F.lit('charset="utf-8"'), F.lit(f'charset="{name}"')), r"[^\x00-\x7F]", "?")
+        sample = F.unhex(F.lit(_SAMPLES[name].encode(codec).hex()))
+        content = content.when(F.col("form") == 4 + k, F.concat(F.encode(ascii_only, "US-ASCII"), sample))
     text = pg.decode_page(F.col("content"))
     return rows.withColumn("content", content).select("page_id", F.sha2(text, 256).alias("decoded"))
 
 
 QUERIES["decode_pages"] = decode_pages
-ORACLES["decode_pages"] = """
-  SELECT page_id, sha256(CASE WHEN page_id % 4 = 2 THEN replace(html, 'charset="utf-8"', 'charset="iso-8859-1"')
-    ELSE html END) AS decoded FROM pages"""
+ORACLES["decode_pages"] = (
+    "SELECT page_id, sha256(CASE page_id % 8 WHEN 2 THEN replace(html, 'charset=\"utf-8\"', 'charset=\"iso-8859-1\"') "
+    + " ".join(
+        f"WHEN {4 + k} THEN regexp_replace(replace(html, 'charset=\"utf-8\"', 'charset=\"{name}\"'), '[^\\x00-\\x7F]', '?', 'g') || '{_SAMPLES[name]}'"
+        for k, name in enumerate(_FOREIGN)
+    )
+    + " ELSE html END) AS decoded FROM pages"
+)
 
 
 def normalize_text(spark, sf_dir):
