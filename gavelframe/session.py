@@ -71,6 +71,21 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def compiled_stages(spark: SparkSession) -> Iterator[None]:
+    """Run long stages as compiled projections inside, also in a session that somebody else has built.
+
+    A session that sets the limit lower keeps its own.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), int(DEFAULTS[name]))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def passing_cuts(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that `cut` writes inside, at the end. For runs that write their results before they return."""

@@ -16,6 +16,7 @@ from gavelframe import schemas
 from gavelframe.functions.html import COURT_LAYOUT, PageLayout
 from gavelframe.operators import coding
 from gavelframe.operators import extraction as ex
+from gavelframe.session import compiled_stages
 from gavelframe.sources import pages as pg
 from gavelframe.sources import records
 
@@ -89,9 +90,10 @@ def annotate_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         known = records.read_registry(spark, log) if isinstance(log, str) else log
         rows = coding.stamp(coding.annotate_with_log(batch, known, root=raw_folder)).persist()
-        rows.where("error_message is null").select(*schemas.ANNOTATION.fieldNames()).write.mode("overwrite").parquet(
-            f"{annotation_folder}/batch={batch_id}"
-        )
+        with compiled_stages(spark):
+            rows.where("error_message is null").select(*schemas.ANNOTATION.fieldNames()).write.mode("overwrite").parquet(
+                f"{annotation_folder}/batch={batch_id}"
+            )
         failed = rows.where("error_message is not null").select("html_id", "raw_html_path", "error_message")
         failed.write.mode("overwrite").parquet(f"{bad_folder}/batch={batch_id}")
         rows.unpersist()

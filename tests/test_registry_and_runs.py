@@ -219,3 +219,37 @@ def test_outcomes_meet_decisions_by_url_and_once(spark):
     )
     logged = discovery.log_rows(decisions, outcomes).collect()
     assert sorted((r["url"], r["status"], r["error_message"]) for r in logged) == [("u1", "downloaded", None), ("u2", "downloaded", None), ("u3", "error", "no")]
+
+
+def test_state_follows_the_log_by_new_files_alone(spark, tmp_path):
+    from gavelframe.plans import registry as plan
+
+    log, state = str(tmp_path / "log"), str(tmp_path / "state")
+    assert plan.refresh(spark, log, state) == {"files": 0, "keys": 0}
+    rows = [(f"d{k % 7}", f"u{k}", f"s{k:03d}") for k in range(60)] + [(None, "u-only", "x"), (None, None, "lost")]
+    frame = spark.createDataFrame(rows, "docid string, url string, status string").repartition(3, "status")
+    sinks.append_registry(frame, log, 1)
+    assert plan.refresh(spark, log, state)["keys"] == 8
+    assert plan.refresh(spark, log, state) == {"files": 0, "keys": 0}
+    sinks.append_registry(spark.createDataFrame([("d3", "u", "new")], "docid string, url string, status string"), log, 2)
+    assert plan.refresh(spark, log, state) == {"files": 1, "keys": 1}
+    whole = rg.registry_index(records.read_registry(spark, log))
+    columns = ["record_key", "docid", "url", "status", "batch_seq", "file_name", "line_no"]
+    assert sorted(map(str, plan.index(spark, state).select(*columns).collect())) == sorted(map(str, whole.select(*columns).collect()))
+
+
+def test_state_reads_a_longer_file_again(spark, tmp_path):
+    from gavelframe.plans import registry as plan
+
+    state = str(tmp_path / "state")
+    path = write_lines(tmp_path / "registry.jsonl", {"docid": "a", "status": "error"}, {"docid": "b", "status": "error"})
+    assert plan.refresh(spark, path, state) == {"files": 1, "keys": 2}
+    with open(path, "a", encoding="utf-8") as file:
+        file.write(json.dumps({"docid": "a", "status": "downloaded"}) + "\n")
+    plan.refresh(spark, path, state)
+    assert {r.record_key: r.status for r in plan.index(spark, state).collect()} == {"a": "downloaded", "b": "error"}
+    with open(path, "a", encoding="utf-8") as file:
+        file.write("{broken\n")
+    with pytest.raises(PySparkException, match="registry.jsonl:4"):
+        plan.refresh(spark, path, state)
+    assert plan.index(spark, state).count() == 2

@@ -165,6 +165,19 @@ def test_cuts_of_a_run_are_deleted(spark):
         spark.read.parquet(path)
 
 
+def test_runs_set_and_restore_the_method_limit(spark):
+    from gavelframe.session import compiled_stages
+
+    name = "spark.sql.codegen.hugeMethodLimit"
+    own = spark.conf.get(name)
+    for before, inside in (("65535", "8000"), ("4000", "4000")):
+        spark.conf.set(name, before)
+        with compiled_stages(spark):
+            assert spark.conf.get(name) == inside
+        assert spark.conf.get(name) == before
+    spark.conf.set(name, own)
+
+
 def test_declared_single_byte_charsets(spark):
     from gavelframe.sources import pages as pg
 

@@ -13,7 +13,7 @@ from gavelframe.operators import coding
 from gavelframe.operators import comparison as cp
 from gavelframe.operators import extraction as ex
 from gavelframe.operators import incremental as inc
-from gavelframe.plans import annotation, comparison, extraction
+from gavelframe.plans import annotation, comparison, extraction, registry
 from gavelframe.session import cut, fresh_folder, use_all_cores
 from gavelframe.sources import pages as pg
 from gavelframe.sources import paths, records, sinks
@@ -275,6 +275,30 @@ ORACLES["registry_append"] = f"""
     WHERE record_key IS NOT NULL) AS r WHERE rn = 1"""
 
 
+def registry_snapshot(spark, sf_dir):
+    """Three batches of several parts, the state refreshed after each; the last batch is the first third of the log."""
+    folder = fresh_folder(spark, "registry-snapshot")
+    rows = rq.log(spark, sf_dir).withColumnRenamed("line_no", "event_id")
+    told = []
+    for batch, third in ((1, 1), (2, 2), (3, 0)):
+        part = rows.where(F.col("event_id") % 3 == third).withColumn("title", F.col("event_id").cast("string"))
+        parts = part.repartitionByRange(3, "scraped_at", "event_id").sortWithinPartitions("scraped_at", "event_id")
+        sinks.append_registry(rq.registry_rows(parts), f"{folder}/log", batch)
+        told.append(registry.refresh(spark, f"{folder}/log", f"{folder}/state")["files"])
+    back = registry.index(spark, f"{folder}/state")
+    event = F.col("title").cast("long").alias("event_id")
+    once = F.lit(sum(told) == len(registry.log_files(spark, f"{folder}/log")))
+    return back.select("record_key", "batch_seq", event, "status", once.alias("each_file_once"))
+
+
+QUERIES["registry_snapshot"] = registry_snapshot
+ORACLES["registry_snapshot"] = f"""
+  SELECT record_key, CAST(batch_seq AS BIGINT) AS batch_seq, line_no AS event_id, status, true AS each_file_once FROM (
+    SELECT *, row_number() OVER (PARTITION BY record_key ORDER BY batch_seq DESC, CAST(ts AS VARCHAR) DESC, line_no DESC) AS rn
+    FROM (SELECT *, {rq._KEY} AS record_key, CASE line_no % 3 WHEN 0 THEN 3 ELSE line_no % 3 END AS batch_seq FROM ({rq._LOG}) AS l) AS k
+    WHERE record_key IS NOT NULL) AS r WHERE rn = 1"""
+
+
 def scan_truth_csv(spark, sf_dir):
     """A CSV with an unnamed index column, quoted text and missing tokens."""
     folder = fresh_folder(spark, "truth")
