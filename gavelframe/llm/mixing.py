@@ -5,7 +5,11 @@ most `cap` times its own, with the excess shared out again by weight. A source
 takes all of its documents as many times as fit whole into its target. What is
 then missing is drawn without replacement in Pareto order: documents rank by
 odds(u) / odds(inclusion probability), u a hash of the id, and are taken in
-that order until the words are complete; the last one in part.
+that order until the words are complete. Inclusion probabilities differ within
+a source: they grow with an affinity, by default the binary digits of the size,
+and are scaled so that the expected words are those that are missing. The last
+document counts in part, or, where texts must stay whole, is taken or left,
+whichever brings the source nearer to its target.
 
 The order is never sorted as a whole. Ranks fall into fixed buckets whose words
 are summed per source; only the bucket in which the target is met is looked at
@@ -99,15 +103,21 @@ def cut_points(sizes: DataFrame, weights: tuple[float, ...], cap: float, seed: s
 
 def _shares(
     docs: DataFrame, id_col: str, text_col: str, source_col: str, affinity_col: str | None,
-    weights: tuple[float, ...], cap: float, seed: str, buckets: int,
+    weights: tuple[float, ...], cap: float, seed: str, buckets: int, whole_texts: bool,
 ) -> DataFrame:
-    affinity = F.coalesce(F.col(affinity_col).cast("double"), F.lit(1.0)) if affinity_col else F.lit(1.0)
-    rows = packed(docs, id=F.col(id_col), source=F.col(source_col), size=word_count(F.col(text_col)), affinity=affinity)
+    given = F.coalesce(F.col(affinity_col).cast("double"), F.lit(1.0)) if affinity_col else F.lit(None).cast("double")
+    rows = packed(docs, id=F.col(id_col), source=F.col(source_col), size=word_count(F.col(text_col)), given=given)
+    digits = F.length(F.bin("size")).cast("double")  # small whole numbers: their sums are exact in any order
+    rows = rows.withColumn("affinity", F.coalesce("given", digits)).drop("given")
     points = cut_points(cut(rows.drop("row"), "mix-sizes"), weights, cap, seed, buckets)
     joined = rows.join(points.withColumnRenamed("source", "src"), F.expr("source <=> src")).drop("src")
     rank = F.when(F.col("rest") > 0, _rank(seed))
     once = F.coalesce((rank < F.col("cut_rank")).cast("long"), F.lit(0))
-    part = F.when(rank == F.col("cut_rank"), F.floor(F.col("part") * F.col("size") / F.col("tied"))).otherwise(0)
+    last = F.coalesce(rank == F.col("cut_rank"), F.lit(False))
+    if whole_texts:
+        near = last & (F.col("part") * 2 >= F.col("tied"))
+        return joined.withColumns({"copies": F.col("whole") + once + near.cast("long"), "extra": F.lit(0).cast("long")})
+    part = F.when(last, F.floor(F.col("part") * F.col("size") / F.col("tied"))).otherwise(0)
     return joined.withColumns({"copies": F.col("whole") + once, "extra": part.cast("long")})
 
 
@@ -121,17 +131,21 @@ def mix(
     cap: float = 3.0,
     seed: str = "",
     buckets: int = 4096,
+    whole_texts: bool = False,
 ) -> DataFrame:
     """One row per document: id, size, source_size, target, taken, copies.
 
-    Size counts the words of the text, NULL as 0. NULL is a source of its own.
-    `affinity_col` tilts the inclusion probabilities within a source. `taken`
-    counts words with repeats: `copies` whole texts and, at the one rank where
-    a draw ends, a part. Rows that repeat an id rank alike and share such a
-    part by size. The hash depends on id and seed only, so reruns agree. An
-    empty table gives an empty result.
+    Size counts the words of the whole text, however long, NULL as 0. NULL is a
+    source of its own. Inclusion probabilities within a source are in
+    proportion to `affinity_col` (NULL counts as 1), else to the binary digits
+    of the size, up to 1. `taken` counts words with repeats: `copies` whole
+    texts and, at the one rank where a draw ends, a part; with `whole_texts`
+    that document is taken if this misses the target by less than leaving it.
+    Rows that repeat an id and a size rank alike: they share a part by size, or
+    are taken together. The hash depends on id and seed only, so reruns agree.
+    Other columns are not looked at. An empty table gives an empty result.
     """
-    shares = _shares(docs, id_col, text_col, source_col, affinity_col, weights, cap, seed, buckets)
+    shares = _shares(docs, id_col, text_col, source_col, affinity_col, weights, cap, seed, buckets, whole_texts)
     return shares.select(
         F.col("id").alias(id_col),
         "size",
@@ -143,12 +157,7 @@ def mix(
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself, with the columns of `docs`: a row per whole copy and one for the last, partial text of a source."""
-    shares = _shares(docs, id_col, text_col, source_col, None, (1, 2, 3), 3.0, "", 4096)
-    whole = F.array_repeat(F.lit(0).cast("long"), F.col("copies").cast("int"))
-    partial = F.when(F.col("extra") > 0, F.array("extra")).otherwise(F.array().cast("array<bigint>"))
-    rows = shares.select("row", F.explode(F.concat(whole, partial)).alias("first_words"))
-    text = F.col(f"row.`{text_col}`")
-    short = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(SPACE_WORD), F.lit(0)), 1, F.col("first_words").cast("int")), " ")
-    out = rows.withColumn("row", F.when(F.col("first_words") > 0, F.col("row").withField(text_col, short)).otherwise(F.col("row")))
-    return out.select("row.*")
+    """The mix itself, with the columns of `docs`: a row per copy that `mix` takes with `whole_texts`. No text is shortened."""
+    shares = _shares(docs, id_col, text_col, source_col, None, (1, 2, 3), 3.0, "", 4096, True)
+    copies = F.array_repeat(F.lit(True), F.col("copies").cast("int"))
+    return shares.select("row", F.explode(copies)).select("row.*")

@@ -105,7 +105,7 @@ WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
          (('0x' || substr(md5(doc_id::VARCHAR), 1, 13))::BIGINT + 0.5) / 4503599627370496.0::DOUBLE AS u
   FROM documents),
-s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, sum(size * length(bin(size)))::DOUBLE / sum(size)::DOUBLE AS tilt, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source),
 w AS (SELECT *, ((k - 1) % 3 + 1)::DOUBLE AS weight, 3.0::DOUBLE * source_size AS most, sum(source_size) OVER () AS total FROM s),
 c AS (
   SELECT *, most <= (total - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
@@ -119,7 +119,9 @@ r AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size)
 q AS (SELECT *, CASE WHEN whole >= 3 THEN 0 ELSE greatest(round(target)::BIGINT - whole * source_size, 0) END AS rest FROM r),
 j AS (
   SELECT d.doc_id, d.size, q.*, u / (1 - u) * ((1 - p) / p) AS odds
-  FROM (SELECT *, least(greatest(rest / source_size, 1e-9), 1 - 1e-9) AS p FROM q) q JOIN d ON d.source IS NOT DISTINCT FROM q.source),
+  FROM q JOIN (
+    SELECT d.*, least(greatest(rest / source_size * length(bin(size)) / tilt, 1e-9), 1 - 1e-9) AS p
+    FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source) d ON d.source IS NOT DISTINCT FROM q.source),
 f AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY odds) - size AS start FROM j)
 SELECT doc_id, size, source_size, target,
        (whole * size + greatest(0, least(size, rest - start)))::BIGINT AS taken,

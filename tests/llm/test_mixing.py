@@ -1,5 +1,7 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
 
 from gavelframe.llm.mixing import mix, mixed_rows
 
@@ -65,12 +67,30 @@ def test_inclusion_follows_the_share_and_the_affinity(spark):
     assert sum(tilted[i] > 0 for i in tilted if i % 2) > 1.5 * sum(tilted[i] > 0 for i in tilted if not i % 2)
 
 
-def test_mixed_rows_hold_the_taken_words(spark):
-    docs, _ = corpus(spark)
-    out = mixed_rows(docs)
-    assert out.columns == docs.columns
-    words = sum(len(r.text.split()) for r in out.select("text").collect() if r.text)
-    assert words == sum(r.taken for r in mix(docs).collect())
+def test_longer_texts_are_likelier_and_the_target_is_met(spark):
+    rows = [(i, "w " * (3 if i % 2 else 100), "a" if i < 4000 else "b") for i in range(8000)]
+    got = [r for r in mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect() if r.doc_id < 4000]
+    taken = {odd: sum(r.taken > 0 for r in got if r.doc_id % 2 == odd) / 2000 for odd in (0, 1)}
+    assert taken[0] > 1.5 * taken[1]
+    assert abs(sum(r.taken for r in got) - got[0].target) <= 1
+
+
+def test_mixed_rows_are_whole_texts_near_the_target(spark):
+    docs, rows = corpus(spark)
+    out = mixed_rows(docs.withColumn("copies", F.lit("x")).withColumn("affinity", F.lit("y")))
+    assert out.columns == [*docs.columns, "copies", "affinity"]
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    assert set(got) <= {(i, text) for i, text, _, _ in rows}
+    taken = mix(docs, whole_texts=True).collect()
+    assert sum(n * len((text or "").split()) for (_, text), n in got.items()) == sum(r.taken for r in taken)
+    assert all(r.taken == r.copies * r.size for r in taken)
+    parts, off = mix(docs).collect(), defaultdict(lambda: [0, 0])
+    for r in taken:
+        off[r.source_size, r.target][0] += r.taken
+    for r in parts:
+        if r.taken != r.copies * r.size:
+            off[r.source_size, r.target][1] += r.size
+    assert all(abs(words - target) <= last / 2 + 2 for (_, target), (words, last) in off.items())
 
 
 def test_empty_and_wordless_tables(spark):

@@ -57,7 +57,7 @@ def test_near_keeps_one_of_each_class(stages):
 
 def test_mixing_takes_what_the_targets_say(stages):
     taken = Counter()
-    for r in mix(stages[3]).collect():
+    for r in mix(stages[3], whole_texts=True).collect():
         taken[r.doc_id] += r.taken
     words = Counter()
     for r in stages[4].select("doc_id", "text").collect():
