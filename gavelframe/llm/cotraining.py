@@ -2,23 +2,30 @@
 
 Two logistic views of a document learn from labelled rows: one sees its text
 (shares of character classes, word shapes, repetition), the other its metadata
-(source, language, stated length). In each round each view, calibrated on
-labelled rows kept apart, hands the unlabelled rows that it is sure of to the
-other as pseudo-labels. At the end the calibrated views are added as log odds,
-with the prior counted once.
-
-The models are fitted on bounded samples, `max_labelled` and `max_pool` rows
-chosen by a hash of the id. They have a fixed number of coefficients, so every
-document is scored where it lies by one arithmetic expression, without moving
-texts and without Python.
+(how rows of its source and of its language were labelled, stated length). In
+each round each view, calibrated by cross-fitting, hands all unlabelled rows
+that it is sure of to the other as pseudo-labels. At the end the calibrated
+views are added as log odds, with the prior counted once.
+
+Only the labelled rows are a bounded sample: `max_labelled`, chosen by a hash
+of the id. Unlabelled rows all count: each Newton step adds up their gradient
+and Hessian in the tasks that hold them, a few hundred numbers, from a narrow
+table of measures. The label rates of sources and languages come from all
+labels and are smoothed towards the rate of all; a labelled row meets the rate
+of the other folds only, so it never sees its own label. Every document is
+then scored by one arithmetic expression, without Python. Its text moves only
+if there are more labelled sources than the planner finds small enough to
+broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +33,11 @@ from gavelframe.llm.common import SPACE_WORD, packed
 from gavelframe.session import cut, settle
 
 _SCALE = 1_000_000_007
-_SOURCES, _LANGUAGES = 32, 8
+_FOLDS = 5
+_PLACES = ("source", "lang")
+_SMOOTHING = 10.0  # labels that the rate of all counts for
+_STEPS = 8
+_SETTLED = 1e-3
 
 
 def text_view(text: Column) -> dict[str, Column]:
@@ -53,58 +64,65 @@ def text_view(text: Column) -> dict[str, Column]:
 
 
 def metadata_view(docs: DataFrame) -> dict[str, Column]:
-    """Source and language as hashed indicators, stated length on a log scale; absent columns count as NULL."""
+    """Source and language as never-NULL names, stated length on a log scale; absent columns and lengths that are no numbers count as NULL."""
 
     def column(name: str) -> Column:
-        return F.col(name) if name in docs.columns else F.lit(None)
+        return (F.col(name) if name in docs.columns else F.lit(None)).cast("string")
 
-    def slots(prefix: str, name: str, n: int) -> dict[str, Column]:
-        slot = F.pmod(F.xxhash64(F.lit(prefix), column(name).cast("string")), F.lit(n))
-        return {f"{prefix}{k}": (slot == k).cast("double") for k in range(n)}
-
-    length = F.coalesce(column("n_chars").cast("double"), F.lit(0.0))
-    stated = {"m_length": F.log1p(F.greatest(length, F.lit(0.0))), "m_unstated": column("n_chars").isNull().cast("double")}
-    return slots("m_source", "source", _SOURCES) | slots("m_lang", "lang", _LANGUAGES) | stated
+    named = {f"at_{name}": F.coalesce(F.concat(F.lit("="), column(name)), F.lit("NULL")) for name in _PLACES}
+    stated = column("n_chars").try_cast("double")
+    length = F.when(~F.isnan(stated), F.least(F.greatest(stated, F.lit(0.0)), F.lit(1e18)))
+    return named | {"m_length": F.log1p(F.coalesce(length, F.lit(0.0))), "m_unstated": length.isNull().cast("double")}
 
 
 def _features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """row, id and the columns of both views."""
+    """row, id, the names of its places and the columns of both views but for the label rates."""
     text = text_view(F.col(text_col))
     rows = packed(docs, id=F.col(id_col), text=text.pop("text"), **metadata_view(docs))
     rows = rows.withColumn("words", text.pop("words"))
     return rows.withColumns(text).drop("text", "words")
 
 
+def label_counts(learn: DataFrame, place: str) -> DataFrame:
+    """Labelled rows and the sum of their labels per place and fold, as arrays."""
+    label, folds = F.col("label").cast("double"), range(_FOLDS)
+    return learn.where("label IS NOT NULL").groupBy(place).agg(
+        F.array(*[F.count_if(F.col("fold") == f).cast("double") for f in folds]).alias(f"n_{place}"),
+        F.array(*[F.sum(F.when(F.col("fold") == f, label).otherwise(0.0)) for f in folds]).alias(f"s_{place}"),
+    )
+
+
+def with_rates(rows: DataFrame, counts: dict[str, DataFrame], base: float, own_fold: Column) -> DataFrame:
+    """Rows with the smoothed label rate of their places as log odds `m_<place>`; counts of `own_fold` are left out, none if it is NULL."""
+    for place, counted in counts.items():
+        rows = rows.join(counted, place, "left")
+    nothing = F.array(*[F.lit(0.0)] * _FOLDS)
+
+    def others(name: str) -> Column:
+        values = F.coalesce(F.col(name), nothing)
+        whole = F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
+        return whole - F.coalesce(F.get(values, own_fold), F.lit(0.0))
+
+    for place in counts:
+        n, s = others(f"n_{place}"), others(f"s_{place}")
+        rows = rows.withColumn(f"m_{place}", F.log((s + _SMOOTHING * base) / (n - s + _SMOOTHING * (1 - base))))
+    return rows.drop(*counts, *[f"{x}_{place}" for place in counts for x in "ns"])
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+Sums = tuple[np.ndarray, np.ndarray]
+
+
 @dataclass
 class Logistic:
-    """Log odds as an affine function; fitted by ridge-penalised Newton steps."""
+    """Log odds as an affine function."""
 
     slope: np.ndarray
     offset: float
 
-    @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> Logistic:
-        mean, spread = x.mean(0), x.std(0)
-        spread[spread < 1e-9] = 1.0
-        design = np.hstack([(x - mean) / spread, np.ones((len(x), 1))])
-        penalty = np.full(design.shape[1], ridge)
-        penalty[-1] = 1e-3  # keeps a single class finite
-        beta = np.zeros(design.shape[1])
-        for _ in range(steps):
-            p = _sigmoid(design @ beta)
-            gradient = design.T @ (y - p) - penalty * beta
-            hessian = (design * (p * (1 - p))[:, None]).T @ design + np.diag(penalty)
-            step = np.linalg.solve(hessian, gradient)
-            beta += step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
-            if np.abs(step).max() < 1e-8:
-                break
-        slope = beta[:-1] / spread
-        return cls(slope, float(beta[-1] - slope @ mean))
-
     def __call__(self, x: np.ndarray) -> np.ndarray:
         return x @ self.slope + self.offset
 
@@ -116,31 +134,118 @@ class Logistic:
         return reduce(lambda a, b: a + b, [F.col(n) * F.lit(float(w)) for n, w in zip(names, self.slope, strict=True)], F.lit(self.offset))
 
 
-def cotrain(
-    views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], rounds: int = 3, sure: float = 0.98
-) -> tuple[list[Logistic], float]:
-    """Calibrated views and the prior log odds. Every fifth labelled row calibrates."""
-    apart = np.arange(len(y)) % 5 == 0
-    if len(y) < 50:
-        apart = np.ones(len(y), bool)
-    learn = ~apart if not apart.all() else apart
-    extra_x = [np.empty((0, v.shape[1])) for v in views]
-    extra_y = [np.empty(0) for _ in views]
-    fitted: list[Logistic] = []
-    for turn in range(rounds + 1):
-        fitted = []
-        for k, view in enumerate(views):
-            raw = Logistic.fit(np.vstack([view[learn], extra_x[k]]), np.concatenate([y[learn], extra_y[k]]))
-            fitted.append(raw.scaled(Logistic.fit(raw(view[apart])[:, None], y[apart])))
-        if turn == rounds or not len(pool[0]):
-            continue
-        odds = np.log(sure / (1 - sure))
-        for k in range(len(views)):
-            told = fitted[1 - k](pool[1 - k])
-            confident = np.abs(told) >= odds
-            extra_x[k], extra_y[k] = pool[k][confident], (told[confident] > 0).astype(float)
+def newton_sums(x: np.ndarray, y: np.ndarray, at: Logistic) -> Sums:
+    """Gradient and negative Hessian of the log likelihood, by slope and offset; both add up over rows."""
+    design, p = np.hstack([x, np.ones((len(x), 1))]), _sigmoid(at(x))
+    return design.T @ (y - p), (design * (p * (1 - p))[:, None]).T @ design
+
+
+def told_sums(views: list[np.ndarray], tellers: list[Logistic], learners: list[Logistic], sure: float) -> list[Sums]:
+    """`newton_sums` of both learners over the rows of which the other view is sure, with what it says of them as labels."""
+    least, out = np.log(sure / (1 - sure)), []
+    for k, learner in enumerate(learners):
+        told = tellers[1 - k](views[1 - k])
+        confident = np.abs(told) >= least
+        out.append(newton_sums(views[k][confident], (told[confident] > 0).astype(float), learner))
+    return out
+
+
+Pool = Callable[[list[Logistic], list[Logistic]], list[Sums]]
+
+
+class _View:
+    """A view in training: labelled rows, what the pool adds, and the coefficients on columns of mean 0 and spread 1."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> None:
+        mean, spread = x.mean(0), x.std(0)
+        spread[spread < 1e-9] = 1.0
+        self.x, self.y, size = (x - mean) / spread, y, x.shape[1] + 1
+        self.to_raw = np.diag([*1 / spread, 1.0])  # raw coefficients from own ones; sums go the other way
+        self.to_raw[-1, :-1] = -mean / spread
+        self.penalty = np.full(size, ridge)
+        self.penalty[-1] = 1e-3  # keeps a single class finite
+        self.beta, self.told, self.told_at = np.zeros(size), (np.zeros(size), np.zeros((size, size))), np.zeros(size)
+
+    def raw(self, beta: np.ndarray | None = None) -> Logistic:
+        slope = self.to_raw @ (self.beta if beta is None else beta)
+        return Logistic(slope[:-1], float(slope[-1]))
+
+    def tell(self, sums: Sums) -> None:
+        """What the pool says at the present coefficients; near them it is a quadratic."""
+        self.told, self.told_at = (self.to_raw.T @ sums[0], self.to_raw.T @ sums[1] @ self.to_raw), self.beta.copy()
+
+    def step(self, beta: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        gradient, hessian = newton_sums(self.x[rows], self.y[rows], Logistic(beta[:-1], float(beta[-1])))
+        gradient = gradient + self.told[0] - self.told[1] @ (beta - self.told_at) - self.penalty * beta
+        step = np.linalg.solve(hessian + self.told[1] + np.diag(self.penalty), gradient)
+        return step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
+
+    def settled(self, rows: np.ndarray, steps: int = 30) -> np.ndarray:
+        beta = self.beta.copy()
+        for _ in range(steps):
+            step = self.step(beta, rows)
+            beta += step
+            if np.abs(step).max() < 1e-8:
+                break
+        return beta
+
+    def calibrated(self, fold: np.ndarray) -> Logistic:
+        """The view, brought to scale by the scores that labelled rows get from a fit without their fold."""
+        apart = np.zeros(len(self.y))
+        for f in np.unique(fold):
+            beta = self.settled(fold != f)
+            apart[fold == f] = self.x[fold == f] @ beta[:-1] + beta[-1]
+        return self.raw().scaled(fit(apart[:, None], self.y))
+
+
+def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> Logistic:
+    """Ridge-penalised logistic regression by Newton steps."""
+    view = _View(x, y, ridge)
+    return view.raw(view.settled(np.ones(len(y), bool)))
+
+
+def cotrain(views: list[np.ndarray], y: np.ndarray, fold: np.ndarray, pool: Pool, rounds: int = 3) -> tuple[list[Logistic], float]:
+    """Calibrated views and the prior log odds. `pool` gives the sums of both learners over all unlabelled rows."""
+    own = [_View(x, y) for x in views]
+    everything = np.ones(len(y), bool)
+    for view in own:
+        view.beta = view.settled(everything)
+    for _ in range(rounds):
+        tellers = [view.calibrated(fold) for view in own]
+        for _ in range(_STEPS):
+            moved = 0.0
+            for view, sums in zip(own, pool(tellers, [view.raw() for view in own]), strict=True):
+                view.tell(sums)
+                step = view.step(view.beta, everything)
+                view.beta, moved = view.beta + step, max(moved, np.abs(step).max())
+            if moved < _SETTLED:
+                break
     base = (y.sum() + 0.5) / (len(y) + 1)
-    return fitted, float(np.log(base / (1 - base)))
+    return [view.calibrated(fold) for view in own], float(np.log(base / (1 - base)))
+
+
+def pool_of(rows: DataFrame, names: list[list[str]], sure: float) -> Pool:
+    """Sums over the rows of a written table; each task adds up its own, and only sums are shuffled."""
+    sizes = [len(n) + 1 for n in names]
+    ends = np.cumsum([0, *[part for n in sizes for part in (n, n * n)]])
+    narrow = rows.select(*[c for n in names for c in n])
+
+    def sums(tellers: list[Logistic], learners: list[Logistic]) -> list[Sums]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(ends[-1])
+            for batch in batches:
+                views = [np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in n]) for n in names]
+                total += np.concatenate([part.ravel() for pair in told_sums(views, tellers, learners, sure) for part in pair])
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "x"])
+
+        added = narrow.mapInArrow(run, "at long, x double").groupBy("at").agg(F.sum("x").alias("x")).toPandas()
+        flat = np.zeros(ends[-1])
+        flat[added["at"].to_numpy(np.int64)] = added["x"].to_numpy(float)
+        parts = np.split(flat, ends[1:-1])
+        return [(parts[2 * k], parts[2 * k + 1].reshape(n, n)) for k, n in enumerate(sizes)]
+
+    return sums
 
 
 def classify(
@@ -150,43 +255,50 @@ def classify(
     text_col: str = "text",
     label_col: str = "quality",
     max_labelled: int = 20_000,
-    max_pool: int = 20_000,
     rounds: int = 3,
+    sure: float = 0.98,
     cutoff: float = 0.5,
 ) -> DataFrame:
     """One row per input row: its columns as struct `row`, text_score, metadata_score, score, kept.
 
-    Scores are probabilities of label 1. Conflicting labels of an id count as
-    the smallest, NULL labels and ids are not learnt from, and NULL texts count
-    as empty. The samples hold the named numbers of rows on average. Without
-    any label the scores are NULL and everything is kept. An empty table gives
-    an empty result.
+    Scores are probabilities of label 1; a score at the cutoff is kept. They
+    depend on the whole text, however long, and on source, lang and n_chars,
+    whatever their type; other columns and their names do not matter.
+    Conflicting labels of an id count as the smallest, NULL labels and ids are
+    not learnt from, repeated rows count as often as they occur, and NULL texts
+    count as empty. At most `max_labelled` labelled rows (on average) are
+    fitted; label rates and pseudo-labels come from all rows. Without any label
+    the scores are NULL and everything is kept. An empty table gives an empty
+    result.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).alias("label"))
-    n_labels, n_docs = max(known.count(), 1), max(docs.count(), 1)
-    draw = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(_SCALE)) / _SCALE
-    of_labelled, of_pool = min(1.0, max_labelled / n_labels), min(1.0, max_pool / n_docs)
     features = _features(docs, id_col, text_col)
-    names = [c for c in features.columns if c not in ("row", "id")]
-    drawn = docs.where(F.col(id_col).isNotNull() & (draw <= max(of_labelled, of_pool)))
-    drawn = _features(drawn.withColumn("__draw", draw), id_col, text_col).select("id", F.col("row.__draw").alias("draw"), *names)
-    drawn = drawn.join(known, "id", "left")
-    drawn = drawn.where(F.when(F.col("label").isNull(), F.col("draw") <= of_pool).otherwise(F.col("draw") <= of_labelled))
-    sample = cut(drawn, "quality-sample").toPandas().sort_values("draw", kind="stable")
-
-    of_text, of_metadata = [c for c in names if c.startswith("t_")], [c for c in names if c.startswith("m_")]
-    labelled, pool = sample[sample["label"].notna()], sample[sample["label"].isna()]
-    if labelled.empty:
+    drawn = lambda salt: F.xxhash64(F.lit(salt), F.col("id"))
+    learn = features.drop("row").where("id IS NOT NULL").join(known, "id", "left")
+    learn = learn.withColumn("fold", F.pmod(drawn("fold"), F.lit(_FOLDS)).cast("int"))
+    learn = cut(learn.withColumn("draw", F.pmod(drawn("sample"), F.lit(_SCALE)) / _SCALE).drop("id"), "quality-measures")
+    met = learn.where("label IS NOT NULL").agg(F.count("*").alias("n"), F.sum("label").alias("good")).head()
+    if not met["n"]:
         nothing = F.lit(None).cast("double")
         return docs.select(
             F.struct("*").alias("row"), nothing.alias("text_score"), nothing.alias("metadata_score"), nothing.alias("score"), F.lit(True).alias("kept")
         )
-    views = [labelled[c].to_numpy(float) for c in (of_text, of_metadata)]
-    pools = [pool[c].to_numpy(float) for c in (of_text, of_metadata)]
-    (text, metadata), prior = cotrain(views, labelled["label"].to_numpy(float), pools, rounds)
-
-    odds = features.select("row", text.column(of_text).alias("text_odds"), metadata.column(of_metadata).alias("metadata_odds"))
+    base = (float(met["good"]) + 0.5) / (met["n"] + 1)
+    counts = {f"at_{name}": cut(label_counts(learn, f"at_{name}"), f"quality-{name}") for name in _PLACES}
+    rated = cut(with_rates(learn, counts, base, F.when(F.col("label").isNotNull(), F.col("fold"))), "quality-views")
+    names = [[c for c in rated.columns if c.startswith(prefix)] for prefix in ("t_", "m_")]
+    of_labelled = min(1.0, max_labelled / met["n"])
+    sample = rated.where(F.col("label").isNotNull() & (F.col("draw") <= of_labelled)).toPandas()
+    if sample.empty:
+        raise ValueError("max_labelled leaves no labelled row to learn from")
+    sample = sample.sort_values(["draw", *names[0], *names[1]], kind="stable")
+    views = [sample[n].to_numpy(float) for n in names]
+    pool = pool_of(rated.where("label IS NULL"), names, sure)
+    (text, metadata), prior = cotrain(views, sample["label"].to_numpy(float), sample["fold"].to_numpy(), pool, rounds)
+
+    whole = with_rates(features, counts, base, F.lit(None).cast("int"))
+    odds = whole.select("row", text.column(names[0]).alias("text_odds"), metadata.column(names[1]).alias("metadata_odds"))
     odds = odds.withColumn("odds", F.col("text_odds") + F.col("metadata_odds") - F.lit(prior))
     # Settled, or a filter on the result would repeat the measures of the text within its own condition.
     chance = lambda c: 1 / (1 + F.exp(-F.least(F.greatest(F.col(c), F.lit(-50.0)), F.lit(50.0))))

@@ -3,6 +3,7 @@ from collections import Counter
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -85,3 +86,60 @@ def test_empty_documents(spark, stages):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DATA)
         assert docs.count() == 0
+
+
+@pytest.fixture(scope="module")
+def odd(spark, stages):
+    """Documents with NULLs, empty and very long texts, repeated rows, equal texts, and columns named like inner ones."""
+    schema = stages[0].schema
+    for name in ("row", "key", "score", "copies", "affinity", "id", "kept"):
+        schema = T.StructType([*schema.fields, T.StructField(name, T.StringType())])
+    values = {"source": "src1", "lang": "en", "n_chars": 10}
+    texts = ["plain words of a short text in a row", "Plain words of a short text in a row", "", None, "long words go on " * 30_000, " \n\t "]
+    rows = [{"doc_id": i, "text": text, **values} for i, text in enumerate(texts)]
+    rows += [rows[0], rows[3], {"doc_id": None, "text": "no id here at all", **values}, {"doc_id": 20, "text": texts[0]}, {"doc_id": 21}, {}, {}]
+    return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
+
+
+def test_quality_of_odd_documents(spark, odd):
+    out = corpus_pipeline.quality(spark, odd, DATA)
+    assert out.columns == odd.columns
+    name = lambda df: Counter(str(r) for r in df.collect())
+    kept, given = name(out), name(odd)
+    assert all(given[r] == n for r, n in kept.items())  # as they were, and repeated rows alike
+
+
+def test_exact_of_odd_documents(spark, odd):
+    out = corpus_pipeline.exact(spark, odd, DATA)
+    assert out.columns == odd.columns
+    got = sorted(((r.doc_id, lowered(r.text)) for r in out.collect()), key=str)
+    best = {}
+    for r in odd.collect():
+        best[lowered(r.text)] = max(best.get(lowered(r.text), -1), -1 if r.doc_id is None else r.doc_id)
+    assert got == sorted(((None if i < 0 else i, text) for text, i in best.items()), key=str)
+
+
+def test_near_of_odd_documents(spark, odd):
+    out = corpus_pipeline.near(spark, odd, DATA)
+    assert out.columns == odd.columns
+    got = Counter(" ".join(lowered(r.text).split()) for r in out.collect())
+    assert set(got) == {" ".join(lowered(r.text).split()) for r in odd.collect()}
+    assert got["plain words of a short text in a row"] == 1
+
+
+def test_mixing_of_odd_documents(spark, odd):
+    out = corpus_pipeline.mix(spark, odd, DATA)
+    assert out.columns == odd.columns
+    got, given = Counter(str(r) for r in out.collect()), Counter(str(r) for r in odd.collect())
+    assert all(n <= 3 * given[r] for r, n in got.items())
+
+
+def test_packing_of_odd_documents(spark, odd):
+    pieces = corpus_pipeline.packing(spark, odd, DATA).collect()
+    starts = sum(r.start == 0 for r in pieces)
+    assert starts == odd.count()
+    whole = Counter()
+    for r in pieces:
+        whole[r.doc_id, r.doc_tokens] += r.length
+    assert all(n % tokens == 0 for (_, tokens), n in whole.items())
+    assert whole[21, 1] == 1
