@@ -18,27 +18,27 @@ from gavelframe.session import cut
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier accepts."""
+    """Documents that the co-trained classifier accepts. NULL and empty texts are judged like others, repeated rows alike."""
     return classify(docs, table(spark, sf_dir, "labels")).where("kept").select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, the largest id. NULL counts as empty; a row that repeats whole stays once."""
     return exact_dedup.keep_rows(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates. Texts without words are classes of their own."""
     return minhash.keep_rows(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their source's target takes them; the last one of a source in part."""
+    """Documents as often as their source's target takes them, always whole; the last one if that is nearer the target."""
     return mixed_rows(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 2048 tokens."""
+    """Pieces of documents in sequences of 2048 tokens; long texts go on in the next ones, NULL is an end alone."""
     return pack(docs, word_tokenizer())
 
 
