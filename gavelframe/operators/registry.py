@@ -152,13 +152,15 @@ def success_rows(decisions: DataFrame, results: DataFrame) -> DataFrame:
 
 def error_rows(decisions: DataFrame, failures: DataFrame) -> DataFrame:
     """Log rows of failed decisions. ``failures``: docid (and url), message, scraped_at."""
-    rows = _of_decisions(decisions, failures)
+    # Cut before the join: only what the log keeps of a message is shuffled and sorted.
+    short = failures.withColumn("message", tx.prefix(F.col("message"), cb.ERROR_MESSAGE_CHARS))
+    rows = _of_decisions(decisions, short)
     nothing = {c: F.lit(None).cast("string") for c in ("http_status", "raw_html_path", "content_hash")}
     return _log_columns(
         rows.withColumns(
             {
                 "status": F.lit(cb.ERROR_STATUS),
-                "error_message": tx.prefix(F.col("message"), cb.ERROR_MESSAGE_CHARS),
+                "error_message": F.col("message"),
                 "decision_date": F.date_format("decision_date", "yyyy-MM-dd"),
                 **nothing,
             }
