@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from gavelframe.llm.common import ascii_lower
 from gavelframe.llm.shingles import mix
-from gavelframe.session import cut
+from gavelframe.session import bounded_batches, cut, passing_cuts, passing_shuffles
 
 ORDERS = (1, 2, 3, 4, 5)
 _BITS = (16, 18, 20, 21, 21)  # log2 of the table sizes
@@ -48,7 +48,7 @@ _SLOTS = sum(_SIZES)
 _CHUNK = 4096
 _MOST = 2**31 - 1  # counters stay there
 _END_BYTE = 0xFF  # never part of UTF-8: ends a text, and stands before its first byte
-_SLICE_BYTES = 3_000_000
+_SLICE_BYTES = 1_500_000
 _MERGE_AT = 2_500_000
 _UNIT_BYTES = 16_000_000
 _LOW = 2  # contexts up to here are broadcast, the others lie in shards
@@ -124,10 +124,11 @@ def _unpacked_windows(data: bytes, size: int) -> np.ndarray:
 
 def _summed(windows_and_counts: list) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct windows and the sums of their counts."""
-    codes, distinct = pd.factorize(np.concatenate([w for w, _ in windows_and_counts]))
-    n = np.bincount(codes, np.concatenate([n for _, n in windows_and_counts])).astype(np.int64)
-    order = np.argsort(distinct)
-    return distinct[order], n[order]
+    window = np.concatenate([w for w, _ in windows_and_counts])
+    order = np.argsort(window)
+    window = window[order]
+    first = np.flatnonzero(np.diff(window, prepend=~window[:1]))
+    return window[first], np.add.reduceat(np.concatenate([n for _, n in windows_and_counts])[order], first)
 
 
 def _units(shards: int, kind: str):
@@ -162,9 +163,11 @@ def _units(shards: int, kind: str):
                 k, learn = len(part), batch.column("learn").slice(a, len(part))
                 key, bounds = windows(part)
                 codes, distinct = pd.factorize(key)
+                fresh, seen = fresh + len(distinct), seen + len(key)
+                del key
                 learnt = np.repeat(learn.to_numpy(zero_copy_only=False).astype(bool), np.diff(bounds))
                 held.append((distinct, np.bincount(codes, learnt).astype(np.int64)))
-                fresh, seen = fresh + len(distinct), seen + len(key)
+                del codes, learnt
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(k, unit)), pa.array(np.full(k, _DOCS, np.int32)), pa.array(row + np.arange(k)), batch.column("id").slice(a, k),
@@ -380,7 +383,7 @@ def evaluate(counted: DataFrame, low: tuple, mixer: Mixer) -> DataFrame:
                     names=["shard", "size", "w", "p"],
                 )
 
-    return cut(counted.mapInArrow(run, "shard int, size int, w binary, p binary"), "lm-values")
+    return cut(counted.mapInArrow(run, "shard int, size int, w binary, p binary"), "lm-values", outlives=True)
 
 
 def look_up(asked: DataFrame, values: DataFrame) -> DataFrame:
@@ -421,7 +424,7 @@ def count_tokens(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, part in _slices(batch.column("text"), 4 * _SLICE_BYTES):
+            for a, part in _slices(batch.column("text"), 8 * _SLICE_BYTES):
                 words, codes, bounds = _tokens(part)
                 learn = batch.column("learn").slice(a, len(part)).to_numpy(zero_copy_only=False).astype(bool)
                 n_all = np.append(np.bincount(codes, minlength=len(words)), len(part))
@@ -452,11 +455,24 @@ def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
+def _answers(packed: list[tuple[int, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """A unit's windows in order and their values, unpacked piece by piece; the list is used up."""
+    size = sum(n for n, _, _ in packed)
+    window, value, a = np.empty(size, np.uint64), np.empty(size, np.float32), 0
+    while packed:
+        n, w, p = packed.pop()
+        window[a : a + n], value[a : a + n] = _unpacked_windows(w, n), _unpacked(p, n, np.float32)
+        a += n
+    by = np.argsort(window)
+    return window[by], value[by]
+
+
 def _scored(batch: pa.RecordBatch, held: dict, window: np.ndarray, value: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Scored rows of texts; `window` (sorted) and `value` are those of their unit."""
     for a, part in _slices(batch.column("text")):
         words, codes, bounds = _tokens(part)
-        c = np.fromiter((held["heavy"].get(w, -1) for w in words.to_pylist()), np.int64, len(words))
+        at = pc.fill_null(pc.index_in(words, value_set=held["heavy"]), -1).to_numpy()
+        c = held["c"][at]
         own = c[codes]
         logs = np.where(own >= 0, np.log10(np.maximum(own, 0) + 0.5), 0.0)
         owner = np.repeat(np.arange(len(part)), np.diff(bounds))
@@ -467,7 +483,9 @@ def _scored(batch: pa.RecordBatch, held: dict, window: np.ndarray, value: np.nda
         tokens = pa.StructArray.from_arrays([words.take(pa.array(code)), pa.array(n)], names=["token", "n"])
         key, spots = windows(part)
         codes_w, distinct = pd.factorize(key)
-        logs10 = value[np.searchsorted(window, distinct)]
+        del key
+        by, logs10 = np.argsort(distinct), np.empty(len(distinct))
+        logs10[by] = value[np.searchsorted(window, distinct[by])]  # in order, so neighbours are found in the cache
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row").slice(a, len(part)),
@@ -502,10 +520,15 @@ def score_texts(
     text per `max_windows`, within bounds; a learning task takes about twice
     as many distinct windows.
     """
+    with bounded_batches(docs.sparkSession), passing_shuffles(docs.sparkSession):  # all that Python does is written inside
+        return _score_texts(docs, id_col, text_col, heavy_parts, max_windows)
+
+
+def _score_texts(docs: DataFrame, id_col: str, text_col: str, heavy_parts: int, max_windows: int) -> DataFrame:
     spark = docs.sparkSession
     out = held_out(F.col(id_col))
     texts = docs.select(F.col(id_col).alias("id"), ascii_lower(F.col(text_col)).alias("text"), (~out).alias("learn"))
-    counts = cut(count_tokens(texts), "lm-token-counts")
+    counts = cut(count_tokens(texts), "lm-token-counts", codec="zstd")
     totals = counts.agg(F.sum("c").alias("n"), F.sum("n_all").alias("n_all"), F.count_if(F.col("c") > 0).alias("v")).head()
     n_train, n_kinds = totals["n"] or 0, totals["v"]
     least = (totals["n_all"] or 0) / heavy_parts
@@ -514,45 +537,49 @@ def score_texts(
 
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     shards = int(np.clip(n_bytes // (8 * max_windows), *_SHARDS))
-    run, unit_kind = _units(shards, docs.schema[id_col].dataType.simpleString())
-    units = cut(texts.select("id", "learn", "text").mapInArrow(run, unit_kind), "lm-units")
-    asked, whole_texts = units.where(F.col("shard") < _DOCS), units.where(F.col("shard") == _DOCS)
-    counted = count_windows(asked)
-    low = _low_windows(counted)
-    n_windows = counted.agg(F.sum("size")).head()[0] or 0
-    values = evaluate(counted, low, fit_mixer(counted, low, max(2, n_windows // (2 * max_windows))))
-    answered = look_up(asked, values)
-    dealt = (
-        whole_texts.select("unit", "shard", "row", "id", "learn", "text", "size", "w", F.lit(None).cast("binary").alias("p"))
-        .unionByName(answered, allowMissingColumns=True)
-        .repartition("unit")
-        .sortWithinPartitions("unit", "shard", "row")
-    )
-    tokens = {"heavy": dict(zip(heavy["token"], heavy["c"], strict=True)), "end": int(end_count["c"]) if end_count else 0}
-    model = spark.sparkContext.broadcast(tokens)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, answers = None, []
-        for batch in batches:
-            for part in _runs(batch):
-                if part.column("shard")[0].as_py() < _DOCS:
-                    if own is not None:
-                        own, answers = None, []
-                    columns = (part.column(c).to_pylist() for c in ("size", "w", "p"))
-                    answers += [(_unpacked_windows(w, n), _unpacked(p, n, np.float32)) for n, w, p in zip(*columns, strict=True)]
-                    continue
-                if own is None:
-                    window = np.concatenate([w for w, _ in answers])
-                    by = np.argsort(window)
-                    own, answers = (window[by], np.concatenate([p for _, p in answers])[by].astype(float)), []
-                yield from _scored(part, model.value, *own)
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    columns = (
-        f"row long, id {kind}, learn boolean, n_tokens long, n_known long, logs double, "
-        "rare array<struct<token:string,n:long>>, score double, n_bytes long"
-    )
-    scored = cut(dealt.mapInArrow(score, columns), "lm-scored")
+    with passing_cuts(spark):
+        run, unit_kind = _units(shards, docs.schema[id_col].dataType.simpleString())
+        units = cut(texts.select("id", "learn", "text").mapInArrow(run, unit_kind), "lm-units", codec="zstd")
+        asked, whole_texts = units.where(F.col("shard") < _DOCS), units.where(F.col("shard") == _DOCS)
+        with passing_cuts(spark):
+            counted = count_windows(asked)
+            low = _low_windows(counted)
+            n_windows = counted.agg(F.sum("size")).head()[0] or 0
+            values = evaluate(counted, low, fit_mixer(counted, low, max(2, n_windows // (2 * max_windows))))
+        answered = look_up(asked, values)
+        dealt = (
+            whole_texts.select("unit", "shard", "row", "id", "learn", "text", "size", "w", F.lit(None).cast("binary").alias("p"))
+            .unionByName(answered, allowMissingColumns=True)
+            .repartition("unit")
+            .sortWithinPartitions("unit", "shard", "row")
+        )
+        tokens = {
+            "heavy": pa.array(heavy["token"], pa.string()),
+            "c": np.append(heavy["c"].to_numpy(np.int64), -1),  # the last one stands for all other tokens
+            "end": int(end_count["c"]) if end_count else 0,
+        }
+        model = spark.sparkContext.broadcast(tokens)
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, answers = None, []
+            for batch in batches:
+                for part in _runs(batch):
+                    if part.column("shard")[0].as_py() < _DOCS:
+                        if own is not None:
+                            own, answers = None, []
+                        columns = (part.column(c).to_pylist() for c in ("size", "w", "p"))
+                        answers += zip(*columns, strict=True)
+                        continue
+                    if own is None:
+                        own = _answers(answers)
+                    yield from _scored(part, model.value, *own)
+
+        kind = docs.schema[id_col].dataType.simpleString()
+        columns = (
+            f"row long, id {kind}, learn boolean, n_tokens long, n_known long, logs double, "
+            "rare array<struct<token:string,n:long>>, score double, n_bytes long"
+        )
+        scored = cut(dealt.mapInArrow(score, columns), "lm-scored", codec="zstd", outlives=True)
     rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.token", "r.n")
     known = rare.join(counts.select("token", "c"), "token").groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"),

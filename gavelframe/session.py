@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 _CHECKPOINT_SETTING = "spark.checkpoint.dir"
 _BATCH_BYTES = 8 << 20
-_OPEN_CUTS: ContextVar[list[str] | None] = ContextVar("open_cuts", default=None)
+_OPEN_CUTS: ContextVar[tuple[list[str], ...]] = ContextVar("open_cuts", default=())
 
 # What the jobs rely on; the caller's own values win.
 DEFAULTS = {
@@ -57,18 +57,19 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, codec: str | None = None, outlives: bool = False) -> DataFrame:
     """Write a table to the shared folder and continue from it.
 
     Later reads prune columns, need no recomputation, and survive the loss of
-    any executor.
+    any executor. A table that `outlives` the innermost `passing_cuts` is left
+    to the one around that, if any.
     """
     spark = df.sparkSession
     folder = fresh_folder(spark, name)
-    held = _OPEN_CUTS.get()
-    if held is not None:
-        held.append(folder)
-    df.write.parquet(folder)
+    held = _OPEN_CUTS.get()[: -1 if outlives else None]
+    if held:
+        held[-1].append(folder)
+    df.write.parquet(folder, compression=codec)
     return spark.read.schema(df.schema).parquet(folder)
 
 
@@ -95,6 +96,30 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(_BATCH_BYTES))
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """`bound_batches` for what is written inside."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    bound_batches(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+@contextmanager
+def passing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Let each write inside delete its shuffle files when it is through, instead of at some later collection of garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def compiled_stages(spark: SparkSession) -> Iterator[None]:
     """Run long stages as compiled projections inside, also in a session that somebody else has built.
@@ -114,7 +139,7 @@ def compiled_stages(spark: SparkSession) -> Iterator[None]:
 def passing_cuts(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that `cut` writes inside, at the end. For runs that write their results before they return."""
     held: list[str] = []
-    token = _OPEN_CUTS.set(held)
+    token = _OPEN_CUTS.set((*_OPEN_CUTS.get(), held))
     try:
         yield
     finally:

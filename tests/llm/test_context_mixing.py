@@ -1,13 +1,16 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from gavelframe.llm import context_mixing as cm
+from gavelframe.session import shared_folder
 
 SCHEMA = "doc_id long, text string, row string, score int"
 
@@ -102,3 +105,26 @@ def test_model_learns_held_out_text(spark):
 
 def test_empty_table(spark):
     assert cm.score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_unit_is_unpacked_within_bounds():
+    rng, pieces, size = np.random.default_rng(3), 8, 100_000
+    window = rng.permutation(np.arange(pieces * size, dtype=np.uint64))
+    value = rng.random(pieces * size).astype(np.float32)
+    parts = [np.sort(part) for part in np.split(window, pieces)]
+    packed = [(size, cm._packed_windows(p), cm._packed(value[p.astype(np.int64)])) for p in parts]
+    tracemalloc.start()
+    found, values = cm._answers(packed)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (found == np.arange(pieces * size, dtype=np.uint64)).all() and (values == value).all()
+    assert not packed and peak < 34 * pieces * size
+
+
+def test_only_tables_of_the_result_stay(spark):
+    name, folder = "spark.sql.execution.arrow.maxBytesPerBatch", Path(shared_folder(spark))
+    before, there = spark.conf.get(name), set(folder.iterdir())
+    scored = cm.score_texts(spark.createDataFrame(corpus(), SCHEMA), max_windows=2000)
+    assert sorted(p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - there) == ["lm-scored", "lm-token-counts"]
+    assert spark.conf.get(name) == before
+    assert scored.count() == len(corpus())
