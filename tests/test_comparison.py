@@ -101,6 +101,20 @@ def test_numbers_like_pandas(spark):
             assert shown == str(int(value) if value.is_integer() else value)
 
 
+def test_text_keys_look_for_numbers_once(spark):
+    """Each cell is searched for a plain number once, and odd cells keep their kinds."""
+    want = {
+        " \u00a0x ": "s:x", "\u3000NA\t": None, "<NA>": None, " ": None, "": None, "NaNs": "s:NaNs", "tRUE": "b:true", "falsE ": "b:false",
+        "+1e400": "s:+1e400", "-0.0": "n:0.0", " .5": "n:0.5", "-INF": "n:-Infinity", "infinity": "n:Infinity", "Info": "s:Info", "+inf": "n:Infinity",
+        "1d": "s:1d", "-": "s:-", "~1": "s:~1", "\u00e91": "s:\u00e91", "\u0661": "s:\u0661", "1_0": "s:1_0", "!": "s:!",
+    }
+    rows = spark.createDataFrame([*want.items(), (None, None)], "cell string, want string").repartition(2)
+    keyed = rows.withColumn("key", cells.text_key(cells.stripped(F.col("cell"))))
+    assert {r.cell: r.key for r in keyed.collect()} == {**want, None: None}
+    lean = keyed.select("key")._jdf.queryExecution().optimizedPlan().toString()
+    assert lean.count("(?:[eE][+-]?[0-9]+)?") == 1
+
+
 def test_csv_run(spark, tmp_path):
     csv = tmp_path / "truth.csv"
     csv.write_text(',docref,date,year,outcome\n1,7B_31/2019,2019-03-04,2019,granted\n2,7B_39/2019,2019-03-09,NA,"a ""b"", c"\n')
