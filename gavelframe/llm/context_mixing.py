@@ -123,14 +123,22 @@ def _unpacked_windows(data: bytes, size: int) -> np.ndarray:
 
 
 def _summed(windows_and_counts: list) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct windows and the sums of their counts."""
+    """Sorted distinct windows and the sums of their counts. Sorted parts are merged."""
     window = np.concatenate([w for w, _ in windows_and_counts])
-    order = np.argsort(window)
+    order = np.argsort(window, kind="stable")
     window = window[order]
     first = np.flatnonzero(np.diff(window, prepend=~window[:1]))
     return window[first], np.add.reduceat(np.concatenate([n for _, n in windows_and_counts])[order], first)
 
 
+def _distinct(window: np.ndarray, learnt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct windows and how often each is learnt. The flag is the lowest bit, so values are sorted, not places."""
+    flagged = np.sort(window << np.uint64(1) | learnt)
+    window = flagged >> np.uint64(1)
+    first = np.flatnonzero(np.diff(window, prepend=~window[:1]))
+    return window[first], np.add.reduceat((flagged & np.uint64(1)).astype(np.int64), first)
+
+
 def _units(shards: int, kind: str):
     """Rows of the texts, and one row per unit and shard with the unit's distinct windows and how often they are learnt."""
     names = ["unit", "shard", "row", "id", "learn", "text", "size", "w", "n"]
@@ -142,7 +150,7 @@ def _units(shards: int, kind: str):
         def closed(id_type: pa.DataType) -> pa.RecordBatch:
             window, n = _summed(held)
             shard = (mix((window >> np.uint64(8)) & np.uint64(0xFFFFFF)) % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
+            order = np.argsort(shard.astype(np.uint16), kind="stable")
             window, n = window[order], n[order]
             used, first = np.unique(shard[order], return_index=True)
             bounds = list(zip(first.tolist(), [*first[1:].tolist(), len(window)], strict=True))
@@ -162,12 +170,10 @@ def _units(shards: int, kind: str):
             for a, part in _slices(batch.column("text")):
                 k, learn = len(part), batch.column("learn").slice(a, len(part))
                 key, bounds = windows(part)
-                codes, distinct = pd.factorize(key)
-                fresh, seen = fresh + len(distinct), seen + len(key)
-                del key
                 learnt = np.repeat(learn.to_numpy(zero_copy_only=False).astype(bool), np.diff(bounds))
-                held.append((distinct, np.bincount(codes, learnt).astype(np.int64)))
-                del codes, learnt
+                held.append(_distinct(key, learnt))
+                fresh, seen = fresh + len(held[-1][0]), seen + len(key)
+                del key, learnt
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(k, unit)), pa.array(np.full(k, _DOCS, np.int32)), pa.array(row + np.arange(k)), batch.column("id").slice(a, k),
@@ -220,10 +226,14 @@ class Counts:
     def __init__(self, window: np.ndarray, n: np.ndarray, orders: tuple[int, ...]) -> None:
         self._tables = {}
         for order in orders:
-            for bit in range(8):
-                key, value = self._key(window, order, bit)
-                keys, codes = np.unique(key, return_inverse=True)
-                self._tables[order, bit] = keys, np.bincount(2 * codes + value, n, 2 * len(keys)).reshape(-1, 2)
+            own = window & np.uint64((1 << (8 * order + 8)) - 1)
+            by = np.argsort(own)
+            own, times = own[by], n[by]
+            for bit in range(8):  # one order of the windows is that of the keys of every bit
+                key, value = self._key(own, order, bit)
+                first = np.diff(key, prepend=~key[:1]) != 0
+                keys, codes = key[first], np.cumsum(first) - 1
+                self._tables[order, bit] = keys, np.bincount(2 * codes + value, times, 2 * len(keys)).reshape(-1, 2)
 
     @staticmethod
     def _key(window: np.ndarray, order: int, bit: int) -> tuple[np.ndarray, np.ndarray]:

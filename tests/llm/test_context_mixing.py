@@ -128,3 +128,26 @@ def test_only_tables_of_the_result_stay(spark):
     assert sorted(p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - there) == ["lm-scored", "lm-token-counts"]
     assert spark.conf.get(name) == before
     assert scored.count() == len(corpus())
+
+
+def test_windows_are_sorted_once_for_all_bits(monkeypatch):
+    """Counts after each context from one sort per length, and distinct windows by sorting values alone."""
+    rng = np.random.default_rng(7)
+    window = np.unique(rng.integers(0, 1 << 20, 500).astype(np.uint64) * np.uint64(0x10003) & np.uint64((1 << 48) - 1))
+    n, sorts = rng.integers(0, 4, len(window)), []
+    argsort = np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: sorts.append(1) or argsort(*a, **k))
+    counts = cm.Counts(window, n, cm.ORDERS)
+    assert len(sorts) == len(cm.ORDERS)
+    for bit in range(8):
+        seen = counts.seen(window, bit)
+        for k, order in enumerate(cm.ORDERS):
+            key, value = cm.Counts._key(window, order, bit)
+            brute = [[n[(key == x) & (value == v)].sum() for v in (0, 1)] for x in key]
+            assert (seen[k] == brute).all()
+    many, learnt = rng.choice(window, 3000), rng.random(3000) < 0.6
+    distinct, times = cm._distinct(many, learnt)
+    assert len(sorts) == len(cm.ORDERS)
+    assert distinct.tolist() == sorted(set(many.tolist()))
+    assert times.tolist() == [int(learnt[many == x].sum()) for x in distinct]
+    assert cm.Counts(window[:0], n[:0], cm.ORDERS).seen(window, 3).sum() == 0
