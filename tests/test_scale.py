@@ -1,5 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
+from gavelframe.functions import codebook as cb
+from gavelframe.functions import text as tx
+from gavelframe.operators import coding
 from gavelframe.operators import extraction as ex
 from gavelframe.operators import registry as rg
 from gavelframe.sources import pages as pg
@@ -50,3 +54,49 @@ def test_error_messages_are_cut_before_the_join(spark):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("substring(message")
     assert len(rows.head()["error_message"]) == 2000
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_text_made_of_its_paragraphs_is_folded_once(spark):
+    rows = [
+        ("a", ["Straße  ΟΔΟΣ", "", None, "\u00a0Ｂ\tﬁn ẞ"], "Straße  ΟΔΟΣ\n\n\u00a0Ｂ\tﬁn ẞ"),
+        ("b", ["ΟΔΟΣ", "Ende "], "ΟΔΟΣ\nEnde"),
+        ("c", ["kurz"], "Ein anderer  TEXT\r\nΟΔΟΣ"),
+        ("d", ["x" * 2990, "İSTANBUL ΟΔΟΣ"], "x" * 2990 + "\nİSTANBUL ΟΔΟΣ"),
+        ("e", [" ", "\x1c"], " \n\x1c"),
+        ("f", [], ""),
+    ]
+    df = spark.createDataFrame(rows, "id string, paragraphs array<string>, text string")
+    df = df.withColumn("folded", F.transform("paragraphs", tx.fold))
+    start = coding.folded_start(F.col("text"), F.col("paragraphs"), F.col("folded"), cb.AREA_CHARS)
+    old = tx.fold(F.substring("text", 1, cb.AREA_CHARS))
+    assert df.select(start.alias("new"), old.alias("old")).where("NOT new <=> old").isEmpty()
+    # The folded paragraphs decide alone: with others in their place, another text comes out.
+    other = coding.folded_start(F.col("text"), F.col("paragraphs"), F.array(F.lit("known")), cb.AREA_CHARS)
+    assert {r[0] for r in df.where(other == "known").select("id").collect()} == {"a", "b", "e", "f"}
+
+
+def test_section_stops_are_tested_once(spark):
+    df = spark.createDataFrame([(["a", "b", "c"], [False, True, True]), (["a"], [False]), (["a"], None), (None, None)], "x array<string>, s array<boolean>")
+    cut = df.select(tx.take_until(F.col("x"), F.transform("s", lambda s: s & F.lit(True))).alias("cut"))
+    assert [r["cut"] for r in cut.collect()] == [["a"], ["a"], [], None]
+    assert _plan(cut).count("array_position") == 1
+
+
+@pytest.mark.parametrize("terms", [t for t in cb.AREA_TERMS.values()] + [cb.STATE_TERMS, cb.LAWYER_TERMS, cb.LEGAL_TERMS])
+def test_terms_are_found_wherever_they_stand(terms):
+    for term in terms:
+        rest = tx._from_rarest(term)
+        assert term.endswith(rest) and len(rest) >= min(4, len(term))
+
+
+def test_terms_are_searched_from_a_rare_letter_and_not_twice(spark):
+    terms = ("invalidenversicherung", "vertrag", "mietvertrag", "vertrag")
+    texts = ["die invalidenversicherung", "validenversicherung", "mietvertrag", "vertra", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    hit = df.select(tx.contains_any(F.col("t"), terms).alias("hit"))
+    assert [r["hit"] for r in hit.collect()] == [True, False, True, False, False, None]
+    assert "mietvertrag" not in _plan(hit) and "Contains(t#" in _plan(hit).replace("contains", "Contains")
