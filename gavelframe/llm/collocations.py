@@ -18,7 +18,11 @@ of P, a being P's own count. This bound orders the work:
 
 A round holds at most `batch` phrases, so what tasks are given is bounded at
 any size; more rounds do the rest. Texts are encoded once: a row holds the
-words of some four megabytes of one language and the text as their numbers.
+words of some four megabytes of one language and the text as their numbers,
+as one string and one block of bytes. Spark passes these on whole; arrays it
+would take apart and put together again, element by element, and hold several
+times over. A row group of that table has few such rows, as a reader holds all
+rows of one.
 """
 
 from __future__ import annotations
@@ -33,16 +37,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gavelframe.llm.common import small_batches
-from gavelframe.session import cut
+from gavelframe.session import bounded_batches, cut
 
 _SCALE = 2_000_000
 _BREAKS = r"[.,;:!?\x0A-\x0D]"
 _BREAK = re.compile(_BREAKS)
 _SLICE_BYTES = 4 << 20
+_HELD_BYTES = 4 * _SLICE_BYTES
 _SLICES_AT_ONCE = 2
 _ROWS_AT_ONCE = 100_000
 _PARTS = 32
-_ENCODED = "lang string, n_words long, words array<string>, codes array<int>"
+_ENCODED = "lang string, n_words long, words string, codes binary"
+# A writer looks at sizes after a hundred rows only, so the rows are what is bounded.
+_FEW_ROWS = {"parquet.block.row.count.limit": "4", "parquet.page.row.count.limit": "1", "parquet.enable.dictionary": "false"}
 
 
 def _portions(text: str) -> Iterator[str]:
@@ -71,7 +78,13 @@ def _encode_texts(texts: pa.Array) -> tuple[list[str], np.ndarray]:
     return [w for w, word in zip(distinct, is_word, strict=True) if word], codes
 
 
+def _narrow(n_words: int) -> str:
+    """Type of the numbers of so many words, and of 0."""
+    return "<u2" if n_words < 1 << 16 else "<i4"
+
+
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each slice; what is held of all languages together is bounded, too."""
     held: dict[str, list[str]] = {}
     sizes: dict[str, int] = {}
 
@@ -81,8 +94,8 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [
             pa.array([lang], pa.string()),
             pa.array([np.count_nonzero(codes)], pa.int64()),
-            pa.array([words], pa.list_(pa.string())),
-            pa.ListArray.from_arrays(pa.array([0, len(codes)], pa.int32()), pa.array(codes)),
+            pa.array(["\n".join(words)], pa.string()),
+            pa.array([codes.astype(_narrow(len(words))).tobytes()], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, names=["lang", "n_words", "words", "codes"])
 
@@ -93,6 +106,8 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes[lang] = sizes.get(lang, 0) + len(portion)
                 if sizes[lang] >= _SLICE_BYTES:
                     yield flushed(lang)
+                elif sum(sizes.values()) >= _HELD_BYTES:
+                    yield flushed(max(sizes, key=sizes.__getitem__))
     for lang in list(held):
         yield flushed(lang)
 
@@ -102,15 +117,17 @@ def encoded(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    with small_batches(docs.sparkSession, 500):
-        return cut(rows.mapInArrow(_encode, _ENCODED), "phrases-encoded")
+    with small_batches(docs.sparkSession, 500), bounded_batches(docs.sparkSession):
+        return cut(rows.mapInArrow(_encode, _ENCODED), "phrases-encoded", **_FEW_ROWS)
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array, np.ndarray]]:
     for batch in batches:
         for k in range(len(batch)):
-            lang, _, words, codes = (batch.column(c)[k] for c in range(4))
-            yield lang.as_py(), words.values, codes.values.to_numpy()
+            lang, _, joined, codes = (batch.column(c)[k] for c in range(4))
+            # Words have no line break; the empty string is that of no words.
+            words = pc.split_pattern(pa.array([joined]), "\n").flatten() if joined.as_buffer().size else pa.array([], pa.string())
+            yield lang.as_py(), words, np.frombuffer(codes.as_buffer(), _narrow(len(words)))
 
 
 def _count_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

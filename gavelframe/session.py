@@ -57,8 +57,8 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str, codec: str | None = None, outlives: bool = False) -> DataFrame:
-    """Write a table to the shared folder and continue from it.
+def cut(df: DataFrame, name: str, codec: str | None = None, outlives: bool = False, **options: str) -> DataFrame:
+    """Write a table to the shared folder, with the writer's `options`, and continue from it.
 
     Later reads prune columns, need no recomputation, and survive the loss of
     any executor. A table that `outlives` the innermost `passing_cuts` is left
@@ -69,7 +69,7 @@ def cut(df: DataFrame, name: str, codec: str | None = None, outlives: bool = Fal
     held = _OPEN_CUTS.get()[: -1 if outlives else None]
     if held:
         held[-1].append(folder)
-    df.write.parquet(folder, compression=codec)
+    df.write.options(**options).parquet(folder, compression=codec)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from gavelframe.llm import collocations as module
@@ -98,3 +100,50 @@ def test_counts_beyond_64_bits_divide_exactly(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def slices(spark, rows):
+    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    return module.encoded(docs).select("lang", "n_words", "words", "codes")
+
+
+def decoded(table):
+    batches = pa.Table.from_pylist([r.asDict() for r in table.collect()]).to_batches()
+    return [(lang, words.to_pylist(), codes.tolist()) for lang, words, codes in module._slices(batches)]
+
+
+def test_slices_are_passed_on_whole_and_come_back_as_they_were(spark):
+    """No array is taken apart, and a row group holds few rows, so neither grows with the input of a task."""
+    rows = [("one two, one", "en"), ("...", "fr"), ("été 中", "de")]
+    table = slices(spark, rows)
+    assert dict(table.dtypes) == {"lang": "string", "n_words": "bigint", "words": "string", "codes": "binary"}
+    of_de, of_en, of_fr = sorted(decoded(table))
+    assert (of_de, of_en) == (("de", ["été", "中"], [1, 2, 0]), ("en", ["one", "two"], [1, 2, 0, 1, 0]))
+    assert of_fr[1] == [] and set(of_fr[2]) == {0}
+    many = slices(spark, [("one two", f"l{k}") for k in range(30)])
+    (file,) = [f for f in many.inputFiles()]
+    found = pq.ParquetFile(file.removeprefix("file:"))
+    assert max(found.metadata.row_group(k).num_rows for k in range(found.num_row_groups)) <= 4
+
+
+def test_many_different_words_have_wide_numbers(spark):
+    text = " ".join(f"w{k}" for k in range(70_000))
+    ((_, words, codes),) = decoded(slices(spark, [(text, "en")]))
+    assert (len(words), codes) == (70_000, [*range(1, 70_001), 0])
+
+
+def test_many_languages_are_held_in_bounded_bytes(monkeypatch):
+    """Each language is far below a slice; all together are put out on the way."""
+    monkeypatch.setattr(module, "_HELD_BYTES", 1000)
+    batch = pa.RecordBatch.from_pydict({"lang": [f"l{k}" for k in range(50)], "text": pa.array(["x" * 100] * 50)})
+    drawn = []
+
+    def one_by_one():
+        for k in range(50):
+            drawn.append(k)
+            yield batch.slice(k, 1)
+
+    out = module._encode(one_by_one())
+    next(out)
+    assert len(drawn) == 10
+    assert len(list(out)) == 49
