@@ -10,6 +10,7 @@ from gavelframe.plans import annotation, comparison, discovery, extraction
 from gavelframe.session import cut, passing_cuts
 from gavelframe.sources import paths, records
 from gavelframe.streaming import folders
+from workloads import io_queries
 
 BODY = '<div id="highlight_content"><div class="content"><div class="para">{}</div></div></div>'
 
@@ -189,3 +190,13 @@ def test_declared_single_byte_charsets(spark):
     got = frame.select(pg.decode_page(F.col("content")), pg.declared_charset(F.col("content"))).collect()
     assert all(body in r[0] for r, (_, body) in zip(got, cases, strict=True))
     assert [r[1] for r in got] == [name.lower() for name, _ in cases]
+
+
+def test_small_files_are_written_without_checksum_files(spark, tmp_path):
+    """Each file of a checksum costs as much as the file itself; names with several lines stay one file."""
+    rows = spark.createDataFrame([(f"n{k}", f'{{"k":{k}}}') for k in range(30)] + [("n3", None), (None, "x")], "name string, value string")
+    io_queries._write_one_file_each(rows, str(tmp_path / "files"))
+    files = [p for p in (tmp_path / "files").rglob("*") if p.is_file() and p.name != "_SUCCESS"]
+    assert not [p for p in files if p.name.endswith(".crc")]
+    texts = sorted(p.read_text() for p in files)
+    assert len(texts) == 31 and sorted("".join(texts).split()) == sorted(["x", *"".join(f'{{"k":{k}}} ' for k in range(30)).split()])
