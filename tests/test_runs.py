@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gavelframe import schemas
 from gavelframe.plans import annotation, comparison, discovery, extraction
 from gavelframe.session import cut, passing_cuts
-from gavelframe.sources import paths, records
+from gavelframe.sources import paths, records, sinks
 from gavelframe.streaming import folders
 from workloads import io_queries
 
@@ -200,3 +200,29 @@ def test_small_files_are_written_without_checksum_files(spark, tmp_path):
     assert not [p for p in files if p.name.endswith(".crc")]
     texts = sorted(p.read_text() for p in files)
     assert len(texts) == 31 and sorted("".join(texts).split()) == sorted(["x", *"".join(f'{{"k":{k}}} ' for k in range(30)).split()])
+
+
+def test_a_run_keeps_on_disk_only_what_its_results_need(spark, tmp_path, monkeypatch):
+    """The prompt's texts are not written without a classifier, and shuffle files go with the write that they serve."""
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own, seen = spark.conf.get(cleanup, "false"), {}
+
+    def watch(df, name, *options):
+        seen[name] = (set(df.columns), spark.conf.get(cleanup))
+        return cut(df, name, *options)
+
+    monkeypatch.setattr(annotation, "cut", watch)
+    source, done = str(tmp_path / "in"), [str(tmp_path / n) for n in ("coded", "table", "bad")]
+    judgments(spark, ("one", "aa/one.html", "x")).write.parquet(source)
+    assert annotation.run(spark, source, str(tmp_path / "none.jsonl"), *done)["processed"] == 1
+    assert seen["annotation"] == ({*schemas.ANNOTATION.fieldNames(), "error_message"}, "true")
+    assert spark.conf.get(cleanup, "false") == own
+
+
+def test_a_compressed_log_is_read_like_a_plain_one(spark, tmp_path):
+    rows = spark.createDataFrame([(f"d{k}", None) for k in range(20)], "docid string, url string").repartition(3)
+    for codec in (None, "gzip"):
+        sinks.append_registry(rows, str(tmp_path / f"log-{codec}"), 1, codec)
+    plain, packed = (records.read_registry(spark, str(tmp_path / f"log-{c}")).select("docid", "url", "batch_seq") for c in (None, "gzip"))
+    assert all(f.endswith(".json.gz") for f in packed.inputFiles())
+    assert sorted(packed.collect()) == sorted(plain.collect()) and packed.count() == 20
